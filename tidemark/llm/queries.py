@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import bpe, packing, quality, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": simhash.op1_simhash,
+        "op3_quality": quality.op3_quality,
+        "op4_sharding": sharding.op4_sharding,
+        "op8_bpe": bpe.op8_bpe,
+        "op10_packing": packing.op10_packing,
     }
 
 
