@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -110,30 +111,37 @@ def powers(pieces: list) -> list[list]:
     return done
 
 
+class ModelEncoder(bpe.Encoder):
+    """Words not met before go to the tokenizers library's own model."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path).model
+
+    def word_ids(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word.encode()]))]
+
+
 _TOKENS: dict[tuple[str, int], object] = {}
 
 
 def token_bytes(path: str, end_id: int):
     """A function from a text to its ids and end_id as little-endian unsigned 32-bit; chunks are remembered."""
     if (path, end_id) not in _TOKENS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        whole = Tokenizer.from_file(path)
-        whole.no_truncation()
-        whole.no_padding()
-        end = np.array([end_id], "<u4").tobytes()
-        raw = lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        memo = bpe.Memo(raw)
-        special = tuple(t.content for t in whole.get_added_tokens_decoder().values())
+        own = ModelEncoder(path)
+        raw = lambda ids: array("I", ids).tobytes()
+        memo, end = bpe.Memo(lambda chunk: raw(own.chunk_ids(chunk))), raw([end_id])
 
         def of(text: str | None) -> bytes:
-            text = text or ""
-            if any(s in text for s in special) or any(c in text for c in bpe._SEPARATORS):
-                return raw(text) + end
-            made = b"".join([memo[c] for c in text.split()])
+            parts = []
+            for part in own.chunks(text or ""):
+                parts += [raw([part])] if isinstance(part, int) else [memo[c] for c in part]
             memo.trim()
-            return made + end
+            parts.append(end)
+            return b"".join(parts)
 
         _TOKENS[path, end_id] = of
     return _TOKENS[path, end_id]
