@@ -162,20 +162,22 @@ def repeated_spans(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataF
                 yield _sorted_out(*now)
 
     def _sorted_out(key, sig, doc, place, kind):
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        told = kind == 1
+        rest = ~told
+        told_doc, told_place = doc[told], place[told]
+        key, sig, doc, place = (c[rest] for c in (key, sig, doc, place))
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
         size = np.diff(np.r_[start, len(key)])
         many = np.repeat(size, size) > 1
-        key, sig, doc, place, kind = (c[many] for c in (key, sig, doc, place, kind))
+        key, sig, doc, place = (c[many] for c in (key, sig, doc, place))
         first = np.lexsort((place, doc, sig, key))  # the earliest of equal surroundings
         k, s, d, p = key[first], sig[first], doc[first], place[first]
-        again = np.r_[False, (k[1:] == k[:-1]) & (s[1:] == s[:-1])]
-        twin = np.r_[False, (d[1:] == d[:-1]) & (p[1:] == p[:-1])] & again  # a repeated row, not a repeat
+        again = np.r_[False, (k[1:] == k[:-1]) & (s[1:] == s[:-1])][: len(k)]
+        twin = np.r_[False, (d[1:] == d[:-1]) & (p[1:] == p[:-1])][: len(k)] & again  # a repeated row, not a repeat
         known = np.zeros(len(key), bool)
         known[first] = again & ~twin
-        known |= kind == 1
         lone = np.zeros(len(key), bool)
         lone[first] = ~again
-        lone &= kind == 0
         # buckets in which two different surroundings are left
         kk = key[lone]
         if len(kk):
@@ -183,7 +185,8 @@ def repeated_spans(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataF
             sz = np.diff(np.r_[st, len(kk)])
             lone[np.flatnonzero(lone)[np.repeat(sz, sz) < 2]] = False
         out = known | lone
-        return pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(place[out]), pa.array(key[out]), pa.array(known[out])], names=["doc_id", "place", "key", "known"])
+        columns = (np.concatenate(x) for x in ((told_doc, doc[out]), (told_place, place[out]), (told_place, key[out]), (np.ones(len(told_doc), bool), known[out])))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "place", "key", "known"])
 
     def cut_out(parts):
         schema = pa.schema([("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int64())])
@@ -218,6 +221,8 @@ def repeated_spans(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataF
         yield from common.batches(spans(), schema)
 
     dealt = docs.select("doc_id", "body").where(F.octet_length("body") >= least).mapInArrow(read, "key long, sig long, doc_id long, place long, kind byte")
+    # what is known to be covered only passes through, dealt by its own place
+    dealt = dealt.withColumn("key", F.when(F.col("kind") == 1, F.xxhash64("doc_id", "place")).otherwise(F.col("key")))
     sorted_out = dealt.repartition("key").sortWithinPartitions("key").mapInArrow(bucket, "doc_id long, place long, key long, known boolean")
     sorted_out = common.durable(sorted_out)
     wanted = sorted_out.where("not known").groupBy("doc_id").agg(F.collect_list(F.struct("place", "key")).alias("wanted"))
