@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A row of documents by what it says, so that rows which share a doc_id are told apart."""
+    return F.xxhash64(*(F.coalesce(docs[c].cast("string"), F.lit("\\N")) for c in ("doc_id", "text", "lang", "source"))).alias("row_key")
+
+
+def only(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs, with all their columns, that stand in rows (row_key)."""
+    key = "_tidemark_key"
+    return docs.withColumn(key, row_key(docs)).join(rows.select(F.col("row_key").alias(key)).distinct(), key, "left_semi").drop(key)
+
+
 def batches(rows, schema: pa.Schema, size: int = 8192):
     """Turn an iterator of tuples into Arrow batches of bounded size."""
     kept = []

@@ -76,19 +76,19 @@ def measure(text: bytes | None) -> tuple:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, base statistics, base_failed, features) of each whole text."""
+    """(row_key, doc_id, lang, source, base statistics, base_failed, features) of each whole text."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    kinds = [("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), *((f, pa.int64()) for f in FEATURES)]
+    kinds = [("row_key", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), *((f, pa.int64()) for f in FEATURES)]
     schema = pa.schema(kinds)
 
     def run(parts):
         for part in parts:
-            made = [measure(t) for t in part.column(3).to_pylist()]
+            made = [measure(t) for t in part.column(4).to_pylist()]
             if made:
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], *(pa.array(c, t) for c, t in zip(zip(*made), schema.types[3:]))], schema=schema)
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], *(pa.array(c, t) for c, t in zip(zip(*made), schema.types[4:]))], schema=schema)
 
-    ddl = "doc_id long, lang string, source string, " + ", ".join(f"{n} long" for n in names) + ", base_failed boolean, " + ", ".join(f"{f} long" for f in FEATURES)
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("binary")).mapInArrow(run, ddl)
+    ddl = "row_key long, doc_id long, lang string, source string, " + ", ".join(f"{n} long" for n in names) + ", base_failed boolean, " + ", ".join(f"{f} long" for f in FEATURES)
+    return docs.select(common.row_key(docs), F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("binary")).mapInArrow(run, ddl)
 
 
 def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -177,8 +177,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS)
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass; all their columns."""
-    good = judge(docs).where("kept").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi")
+    return common.only(docs, judge(docs).where("kept"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -303,14 +304,14 @@ def remove_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
                 texts.append(None if text is None else kept_bytes(text, list(_whole_characters(text, union(own, len(text))))).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["_row", "_kept"])
 
-    names = docs.columns
-    rest = F.struct(*(F.col(c) for c in names if c != "text")).alias("_row")
-    joined = docs.withColumn("_id", F.col("doc_id").cast("long")).join(spans.select(F.col("doc_id").alias("_id"), "spans").hint("shuffle_hash"), "_id", "left")
-    packed = joined.select(rest, F.col("text").cast("binary").alias("_body"), "spans")
-    row_type = packed.schema["_row"].dataType.simpleString()
-    kept = packed.mapInArrow(run, f"_row {row_type}, _kept string")
-    out = kept.select(*(F.col("_kept").alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in names))
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
+    # the whole row travels as one value, so that no column of it can clash
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("_row"), docs["text"].cast("string").cast("binary").alias("_body"), docs["doc_id"].cast("long").alias("_id"))
+    joined = rows.join(spans.select(F.col("doc_id").alias("_id"), "spans").hint("shuffle_hash"), "_id", "left").select("_row", "_body", "spans")
+    kept = joined.mapInArrow(run, T.StructType([joined.schema["_row"], T.StructField("_kept", T.StringType())]))
+    own = {"text": F.col("_kept")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(own.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns))
 
 
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
