@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from . import common
 
 _GEAR = np.random.default_rng(6).integers(0, 2**32, 256, dtype=np.uint32)
-SMALLEST, BITS, LARGEST, LEAST = 24, 5, 256, 96
+SMALLEST, BITS, LARGEST, LEAST = 16, 4, 256, 96
 _BLOCK = 1 << 22
 
 
@@ -57,43 +57,76 @@ def ends(text: bytes, smallest: int = SMALLEST, bits: int = BITS, largest: int =
     return out
 
 
+#: Kinds of rows: a chunk's earliest place in its batch, one that repeats it there, a document's number of chunks.
+FIRST, AGAIN, TOTAL = 0, 1, 2
+
+
 def chunked(docs: DataFrame) -> DataFrame:
-    """(d0, d1, doc_id, place, size): every chunk's 128-bit digest."""
-    schema = pa.schema([("d0", pa.int64()), ("d1", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("size", pa.int32())])
+    """(d0, d1, doc_id, place, size, kind): chunks by 128-bit digest; those that a batch knows to be repeats are told so."""
+    schema = pa.schema([("d0", pa.int64()), ("d1", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("size", pa.int32()), ("kind", pa.int8())])
 
     def run(parts):
         for part in parts:
-            d, doc_ids, places, sizes = [], [], [], []
+            seen: dict[bytes, tuple[int, int]] = {}
+            digests, rest = [], [[], [], [], []]
 
             def batch():
-                x = np.frombuffer(b"".join(d), np.int64).reshape(-1, 2)
-                return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(doc_ids, pa.int64()), pa.array(places, pa.int64()), pa.array(sizes, pa.int32())], schema=schema)
-
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                at = 0
-                for e in ends(text or b""):
-                    d.append(hashlib.blake2b(text[at:e], digest_size=16).digest())
-                    doc_ids.append(doc)
-                    places.append(at)
-                    sizes.append(e - at)
+                x = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), *(pa.array(c, t) for c, t in zip(rest, schema.types[2:]))], schema=schema)
+
+            for doc, text in sorted(zip(part.column(0).to_pylist(), (t or b"" for t in part.column(1).to_pylist()))):
+                at, cuts = 0, ends(text)
+                for e in cuts:
+                    d = hashlib.blake2b(text[at:e], digest_size=16).digest()
+                    digests.append(d)
+                    first = seen.setdefault(d, (doc, at)) == (doc, at)
+                    for column, x in zip(rest, (doc, at, e - at, FIRST if first else AGAIN)):
+                        column.append(x)
                     at = e
-                if len(d) > 1 << 17:
+                digests.append(bytes(16))
+                for column, x in zip(rest, (doc, 0, len(cuts), TOTAL)):
+                    column.append(x)
+                if len(digests) > 1 << 17:
                     yield batch()
-                    d, doc_ids, places, sizes = [], [], [], []
-            if d:
+                    digests, rest = [], [[], [], [], []]
+            if digests:
                 yield batch()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).where("doc_id is not null").mapInArrow(run, "d0 long, d1 long, doc_id long, place long, size int")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).where("doc_id is not null").mapInArrow(run, "d0 long, d1 long, doc_id long, place long, size int, kind byte")
 
 
 def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, n_chunks, runs: array<struct<s, e>>): runs of chunks, of `least` bytes at least, that stand earlier."""
-    rows = chunked(docs).distinct()
-    firsts = rows.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n")).where("n > 1").select("d0", "d1", "first")
-    marked = rows.join(firsts, ["d0", "d1"], "left")
-    again = F.col("first").isNotNull() & (F.struct("doc_id", "place") != F.col("first"))
-    own = marked.groupBy("doc_id").agg(F.count("*").alias("n_chunks"), F.collect_list(F.when(again, F.struct(F.col("place").alias("s"), (F.col("place") + F.col("size")).alias("e")))).alias("again"))
+    """(doc_id, n_chunks, runs: array<struct<s, e>>): runs of chunks, of `least` bytes at least, that stand earlier.
 
+    One shuffle by digest: in its order, all rows of a digest but the first place are repeats.
+    """
+
+    def told(parts):
+        last = None
+        for part in parts:
+            columns = [part.column(i).to_numpy() for i in range(6)]
+            d0, d1, doc, place, _, kind = columns
+            n = len(d0)
+            if not n:
+                continue
+            same = np.zeros(n, bool)
+            same[1:] = (d0[1:] == d0[:-1]) & (d1[1:] == d1[:-1]) & (kind[1:] == kind[:-1])
+            twin = np.zeros(n, bool)  # a repeated row isn't a repeat
+            twin[1:] = (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])
+            if last is not None:
+                same[0] = last[:2] == (d0[0], d1[0]) and last[4] == kind[0]
+                twin[0] = last[2:4] == (doc[0], place[0])
+            out = (kind != FIRST) | (same & ~twin)
+            last = (d0[-1], d1[-1], doc[-1], place[-1], kind[-1])
+            yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(out)) for i in range(2, 6)], names=["doc_id", "place", "size", "kind"])
+
+    # rows that only pass through are dealt by their own place, so that a common chunk makes no large task
+    rows = chunked(docs).withColumn("d0", F.when(F.col("kind") == FIRST, F.col("d0")).otherwise(F.xxhash64("doc_id", "place")))
+    rows = rows.repartition("d0").sortWithinPartitions("d0", "d1", "kind", "doc_id", "place")
+    rows = rows.mapInArrow(told, "doc_id long, place long, size int, kind byte")
+    is_total = F.col("kind") == TOTAL
+    span = F.struct(F.col("place").alias("s"), (F.col("place") + F.col("size")).alias("e"))
+    own = rows.groupBy("doc_id").agg(F.max(F.when(is_total, F.col("size").cast("long"))).alias("n_chunks"), F.collect_list(F.when(~is_total, span)).alias("again"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chunks", pa.int64()), ("runs", pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))])
 
     def run(parts):
@@ -101,11 +134,11 @@ def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
             out = []
             for again in part.column(2).to_pylist():
                 runs: list[list[int]] = []
-                for x in sorted((x["s"], x["e"]) for x in again):
-                    if runs and runs[-1][1] == x[0]:
-                        runs[-1][1] = x[1]
+                for s, e in sorted({(x["s"], x["e"]) for x in again}):
+                    if runs and runs[-1][1] == s:
+                        runs[-1][1] = e
                     else:
-                        runs.append([*x])
+                        runs.append([s, e])
                 out.append([{"s": s, "e": e} for s, e in runs if e - s >= least])
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, schema.types[2])], schema=schema)
 
