@@ -27,8 +27,8 @@ from . import common
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 #: Documents a language is learned from, languages, words a language, n-grams a length and language.
-PER_LANGUAGE, LANGUAGES, WORDS, GRAMS = 4_000, 256, 40_000, 8_000
-_REMEMBERED = 400_000
+PER_LANGUAGE, LANGUAGES, WORDS, GRAMS = 3_000, 256, 40_000, 8_000
+_REMEMBERED = 250_000
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -37,34 +37,39 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """words and grams[n]: the vector of log frequencies by language."""
+    """words and parts[n]: rows of a table of log frequencies by language."""
 
     def __init__(self, languages: list[str], words: dict[str, list[int]], parts: dict[int, dict[str, list[int]]]):
         self.languages = languages
         self.words = self._logs(words)
         self.parts = {n: self._logs(x) for n, x in parts.items()}
-        self.seen: dict[str, int] = {}
-        self.rows = np.empty((0, len(languages)))
+        self.forget()
+
+    def __getstate__(self):
+        return self.languages, self.words, self.parts
+
+    def __setstate__(self, state):
+        self.languages, self.words, self.parts = state
+        self.forget()
 
-    def __reduce__(self):
-        return _restored, (self.languages, self.words, self.parts)
+    def forget(self) -> None:
+        self.seen: dict[str, int] = {}
+        self.rows = np.empty((0, len(self.languages)), np.float32)
 
-    @staticmethod
-    def _logs(counts: dict[str, list[int]]) -> dict[str, np.ndarray]:
-        if not counts:
-            return {}
-        table = np.array(list(counts.values()), float)
-        table = np.log((table + 0.5) / (table.sum(0) + 0.5 * len(table)))
-        return dict(zip(counts, table))
+    def _logs(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
+        table = np.array(list(counts.values()), float).reshape(-1, len(self.languages))
+        table = np.log((table + 0.5) / (table.sum(0) + 0.5 * max(len(table), 1)))
+        return {w: i for i, w in enumerate(counts)}, table.astype(np.float32)
 
     def score(self, word: str) -> np.ndarray:
-        if (known := self.words.get(word)) is not None:
-            return known
+        places, table = self.words
+        if (at := places.get(word)) is not None:
+            return table[at]
         for n in range(LONGEST, 0, -1):
-            table = self.parts.get(n, {})
-            if found := [table[g] for g in grams(word, n) if g in table]:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages))
+            places, table = self.parts[n]
+            if found := [places[g] for g in grams(word, n) if g in places]:
+                return table[found].mean(0)
+        return np.zeros(len(self.languages), np.float32)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not text:
@@ -73,12 +78,12 @@ class Model:
         if not any(map(str.isalpha, counts)) and not any(map(str.isalpha, text)):
             return "und", 0.0
         if len(self.seen) > _REMEMBERED:
-            self.seen.clear()
+            self.forget()
         seen = self.seen
         if new := [w for w in counts if w not in seen]:
             at = len(seen)
             if at + len(new) > len(self.rows):
-                more = np.empty((max(2 * len(self.rows), at + len(new), 1 << 14), len(self.languages)))
+                more = np.empty((max(2 * len(self.rows), at + len(new), 1 << 14), len(self.languages)), np.float32)
                 more[:at] = self.rows[:at]
                 self.rows = more
             for i, w in enumerate(new, at):
@@ -94,12 +99,6 @@ class Model:
         return self.languages[best], float(1 / shares.sum())
 
 
-def _restored(languages, words, parts) -> Model:
-    model = Model(languages, {}, {})
-    model.words, model.parts = words, parts
-    return model
-
-
 def learnable(doc_id: str = "doc_id") -> F.Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) != 2
 
@@ -112,7 +111,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     share = {r["lang"]: min(1.0, per_language / r["count"]) for r in sizes}
     languages = sorted(share)
     if not languages:
-        return Model([], {}, {})
+        return Model([], {}, {n: {} for n in range(1, LONGEST + 1)})
     limits = docs.sparkSession.createDataFrame([(x, int(share[x] * (1 << 30))) for x in languages], "lang string, _most long").coalesce(1)
     sample = rows.join(F.broadcast(limits), "lang").where("_at < _most").select("lang", "text")
     schema = pa.schema([("n", pa.int8()), ("gram", pa.string()), ("lang", pa.string()), ("times", pa.int64())])
@@ -147,27 +146,27 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row; the model, of bounded size, goes to every executor."""
+    """(doc_id, held_out, lang_pred, score, row_key) of every row; the model, of bounded size, goes to every executor."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("row_key", pa.int64())])
 
     def run(parts):
         own = sent.value
         for part in parts:
             made = [own.predict(t) for t in part.column(2).to_pylist()]
             langs, scores = zip(*made) if made else ((), ())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), part.column(3)], schema=schema)
 
     held_out = F.coalesce(~learnable(), F.lit(False)).alias("held_out")
-    return docs.select(F.col("doc_id").cast("long"), held_out, F.col("text").cast("string")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), held_out, F.col("text").cast("string"), common.row_key(docs)).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, row_key long")
 
 
 def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose language is told with at least that score."""
     known = predict(docs, fit(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
-    return docs.join(known.select("doc_id").distinct(), "doc_id", "left_semi")
+    return common.only(docs, known)
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    return predict(docs, fit(docs))
+    return predict(docs, fit(docs)).drop("row_key")
