@@ -57,7 +57,7 @@ class Model:
         self.rows = np.empty((0, len(self.languages)), np.float32)
 
     def _logs(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
-        table = np.array(list(counts.values()), float).reshape(-1, len(self.languages))
+        table = np.array(list(counts.values()), float).reshape(len(counts), len(self.languages))
         table = np.log((table + 0.5) / (table.sum(0) + 0.5 * max(len(table), 1)))
         return {w: i for i, w in enumerate(counts)}, table.astype(np.float32)
 
