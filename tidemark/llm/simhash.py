@@ -184,11 +184,41 @@ def link(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",)) -
     return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(match, "u long, v long")
 
 
-def clusters(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",)) -> DataFrame:
-    """fps (doc_id, fingerprints) with component_id: the smallest doc_id reachable."""
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, shingles): the distinct hashes of each text's width-word shingles."""
+
+    def run(parts):
+        for part in parts:
+            sets = []
+            for text in part.column(1).to_pylist():
+                words = (text or b"").lower().split()
+                if len(words) < width:
+                    words = [b" ".join(words)]
+                n = min(width, len(words))
+                h = {xxhash.xxh64_intdigest(x) for x in map(b" ".join, zip(*(words[i:] for i in range(n))))}
+                sets.append(np.fromiter(h, np.uint64, len(h)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, shingles array<long>")
+
+
+def similar(edges: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The edges whose documents have that Jaccard similarity of shingles, exactly."""
+    edges = common.durable(edges.distinct())
+    ends = edges.select(F.col("u").alias("doc_id")).unionAll(edges.select("v")).distinct()
+    sets = common.durable(shingle_sets(docs.select("doc_id", "text").join(ends, "doc_id", "left_semi"), width))
+    a, b = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
+    shared = F.size(F.array_intersect("a", "b"))
+    both = edges.join(a, "u").join(b, "v").withColumn("_n", shared)
+    return both.where(F.col("_n") >= similarity * (F.size("a") + F.size("b") - F.col("_n"))).select("u", "v")
+
+
+def clusters(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",), check=None) -> DataFrame:
+    """fps (doc_id, fingerprints) with component_id: the smallest doc_id reachable.  check: takes edges, gives those that hold."""
     fps = common.durable(fps)
     nodes = common.durable(fps.groupBy(*names).agg(F.min("doc_id").alias("node")))
-    found = common.components(link(nodes, radius, cells, names))
+    edges = link(nodes, radius, cells, names)
+    found = common.components(check(edges) if check else edges)
     named = nodes.join(found, "node", "left").select(*names, F.coalesce("root", "node").alias("component_id"))
     return fps.join(named, list(names))
 
@@ -199,16 +229,17 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, grids: int = 24, segments: int = 10) -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, grids: int = 24, segments: int = 10, slack: int = 6) -> DataFrame:
     """docs without all but the smallest doc_id of each group of near copies on width-word shingles.
 
     Two fingerprints with different seeds make 128 bits.  A Jaccard similarity s means a cosine of 2s / (1 + s) and
-    an expected angle share of bits that differ; documents link at that many bits or fewer.  Rows without words stay.
+    an expected angle share of bits that differ; up to `slack` bits more make a candidate, and the exact similarity of
+    its shingles decides.  Rows without words stay.
     """
     cosine = 2 * similarity / (1 + similarity)
-    radius = int(128 * np.arccos(cosine) / np.pi)
+    radius = int(128 * np.arccos(cosine) / np.pi) + slack
     spoken = docs.where(F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    found = clusters(fingerprints(spoken, width, (42, 43)), radius, projected_cells(grids, segments), ("f0", "f1"))
+    found = clusters(fingerprints(spoken, width, (42, 43)), radius, projected_cells(grids, segments), ("f0", "f1"), lambda edges: similar(edges, spoken, width, similarity))
     extra = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(extra, "doc_id", "left_anti")
 
