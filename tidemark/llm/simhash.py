@@ -46,15 +46,18 @@ def fingerprint(text: bytes | None, width: int, seed: int) -> int:
     return int(np.packbits(counts.ravel() * 2 > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
-    """(doc_id, f0, f1, ...): one fingerprint for each seed."""
-    names = [f"f{i}" for i in range(len(seeds))]
+def fingerprints(docs: DataFrame, width: int = 3, seeds: tuple[int, ...] = (42,), words: bool = False) -> DataFrame:
+    """(doc_id, f0, f1, ...): one fingerprint for each seed; with words, also a hash of the whole word sequence."""
+    names = [*(f"f{i}" for i in range(len(seeds))), *(["words"] if words else [])]
     schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in names)])
 
     def run(parts):
         for part in parts:
             texts = part.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([fingerprint(t, width, s) for t in texts], pa.int64()) for s in seeds)], schema=schema)
+            found = [[fingerprint(t, width, s) for t in texts] for s in seeds]
+            if words:
+                found.append([xxhash.xxh64_intdigest(b" ".join((t or b"").lower().split())) - (1 << 63) for t in texts])
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in found)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
 
@@ -103,25 +106,77 @@ def projected_cells(grids: int, segments: int):
     return cells
 
 
-def _linked(cell: np.ndarray, fps: list[np.ndarray], radius: int, deep: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs within radius that connect what is linked inside each cell; cell is sorted."""
-    n = len(cell)
-    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-    size = np.diff(np.r_[starts, n])
-    found_i, found_j = [], []
-    of = np.repeat(size, size)
+def _small_pairs(cell: np.ndarray, fps: list[np.ndarray], radius: int, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs within radius, and their distances, in the cells of 64 rows or fewer; of: the size of each row's cell."""
     small = np.flatnonzero((of > 1) & (of <= 64))
     c, f = cell[small], [x[small] for x in fps]
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int16))]
     k = 1
     while len(small) > k:
         at = np.flatnonzero(c[k:] == c[:-k])
         if not len(at):
             break
-        d = sum(np.bitwise_count(x[at] ^ x[at + k]).astype(np.int64) for x in f)
-        ok = at[d <= radius]
-        found_i.append(small[ok])
-        found_j.append(small[ok + k])
+        d = sum(np.bitwise_count(x[at] ^ x[at + k]).astype(np.int16) for x in f)
+        ok = d <= radius
+        found.append((small[at[ok]], small[at[ok] + k], d[ok]))
         k += 1
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _nearest(cell: np.ndarray, fps: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimum spanning forest, by distance, of the links within radius inside each cell; cell is sorted.
+
+    At every smaller radius too it connects what is linked, and a row's nearest partner is always one of its links.
+    Big cells take memory in proportion to their rows.
+    """
+    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    size = np.diff(np.r_[starts, len(cell)])
+    i, j, d = _small_pairs(cell, fps, radius, np.repeat(size, size))
+    order = np.argsort(d, kind="stable")
+    i, j = i[order], j[order]
+    found_i, found_j, lab = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.arange(len(cell))
+    while True:  # each component takes its first link, in order of distance, to another one
+        a, b = lab[i], lab[j]
+        apart = a != b
+        if not apart.any():
+            break
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        first = np.full(len(cell), len(i))
+        rank = np.arange(len(i))
+        np.minimum.at(first, a, rank)
+        np.minimum.at(first, b, rank)
+        took = np.unique(first[first < len(i)])
+        found_i.append(i[took])
+        found_j.append(j[took])
+        lab = common.forest(np.concatenate(found_i), np.concatenate(found_j), len(cell))
+    for s, m in zip(starts[size > 64], size[size > 64]):
+        own = [x[s : s + m] for x in fps]
+        rest, at = np.arange(1, m), 0
+        best, via = np.full(m - 1, 1 << 14, np.int16), np.zeros(m - 1, np.int64)
+        links = []
+        while len(rest):
+            d = sum(np.bitwise_count(x[rest] ^ x[at]).astype(np.int16) for x in own)
+            closer = d < best
+            best[closer] = d[closer]
+            via[closer] = at
+            k = int(best.argmin())
+            if best[k] <= radius:
+                links.append((rest[k], via[k]))
+            at = rest[k]
+            rest, best, via = (np.delete(x, k) for x in (rest, best, via))
+        if links:
+            pairs = np.array(links, np.int64) + s
+            found_i.append(pairs[:, 0])
+            found_j.append(pairs[:, 1])
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def _linked(cell: np.ndarray, fps: list[np.ndarray], radius: int, deep: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs within radius that connect what is linked inside each cell; cell is sorted."""
+    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    size = np.diff(np.r_[starts, len(cell)])
+    i, j, _ = _small_pairs(cell, fps, radius, np.repeat(size, size))
+    found_i, found_j = [i], [j]
     for s, m in zip(starts[size > 64], size[size > 64]):
         own = [x[s : s + m] for x in fps]
         if deep and m > 20_000 and radius <= 3 and len(fps) == 1:  # one of four 16-bit pieces is equal
@@ -140,13 +195,14 @@ def _linked(cell: np.ndarray, fps: list[np.ndarray], radius: int, deep: bool = T
             i = np.flatnonzero(root != np.arange(len(root)))
             found_i.append(s + a + i)
             found_j.append(s + a + root[i])
-    return np.concatenate([np.empty(0, np.int64), *found_i]), np.concatenate([np.empty(0, np.int64), *found_j])
+    return np.concatenate(found_i), np.concatenate(found_j)
 
 
-def link(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",)) -> DataFrame:
-    """Edges (u, v) that connect all nodes found within radius; fps: (node, fingerprints), distinct fingerprints.
+def link(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",), nearest: bool = False) -> DataFrame:
+    """Edges (u, v) that connect all nodes found within radius; fps: (node, fingerprints), a row for each node.
 
-    A cell with many fingerprints gives a spanning forest of its links, never all its pairs.
+    A cell with many fingerprints gives a spanning forest of its links, never all its pairs: one to the smallest
+    node reachable, or, with nearest, one of direct links that are as short as can be.
     """
     keys = pa.schema([("cell", pa.int64()), *((n, pa.int64()) for n in names), ("node", pa.int64())])
 
@@ -160,10 +216,12 @@ def link(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",)) -
 
     def edges_of(cols):
         cell, node = cols[0], cols[-1]
-        i, j = _linked(cell, [c.view(np.uint64) for c in cols[1:-1]], radius)
-        root = common.forest(i, j, len(cell))
-        i = np.flatnonzero(root != np.arange(len(root)))
-        u, v = node[i], node[root[i]]
+        i, j = (_nearest if nearest else _linked)(cell, [c.view(np.uint64) for c in cols[1:-1]], radius)
+        if not nearest:
+            root = common.forest(i, j, len(cell))
+            i = np.flatnonzero(root != np.arange(len(root)))
+            j = root[i]
+        u, v = node[i], node[j]
         pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
 
@@ -199,17 +257,54 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, grids: int = 24, segments: int = 10) -> DataFrame:
+def shingle_set(text: bytes | None, width: int) -> set[bytes]:
+    words = (text or b"").lower().split()
+    n = min(width, len(words))
+    return set(map(b" ".join, zip(*(words[i:] for i in range(n)))))
+
+
+def similar(edges: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The edges (u, v: doc_id) whose texts have that Jaccard similarity of shingles, exactly; one pair of sets at a time."""
+    edges = common.durable(edges.distinct())
+    ends = edges.select(F.col("u").alias("doc_id")).unionAll(edges.select("v")).distinct()
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    own = common.durable(own.join(ends, "doc_id", "left_semi"))
+    a, b = own.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), own.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
+
+    def judge(parts):
+        held, y = None, set()
+        for part in parts:
+            u, v, keep = part.column(0), part.column(1), []
+            for k in range(part.num_rows):
+                text = part.column(3)[k].as_py()
+                if text != held:
+                    held, y = text, shingle_set(text, width)
+                x = shingle_set(part.column(2)[k].as_py(), width)
+                few, many = sorted((len(x), len(y)))
+                n = len(x & y) if few >= similarity * many else 0
+                keep.append(n > 0 and n >= similarity * (few + many - n))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([u.filter(keep), v.filter(keep)], names=["u", "v"])
+
+    return edges.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(judge, "u long, v long")
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, grids: int = 24, segments: int = 10, slack: int = 8) -> DataFrame:
     """docs without all but the smallest doc_id of each group of near copies on width-word shingles.
 
     Two fingerprints with different seeds make 128 bits.  A Jaccard similarity s means a cosine of 2s / (1 + s) and
-    an expected angle share of bits that differ; documents link at that many bits or fewer.  Rows without words stay.
+    an expected angle share of bits that differ; up to `slack` bits more make a candidate, and the exact similarity of
+    its shingle sets decides.  Texts of the same words are copies.  Rows without words stay.
     """
     cosine = 2 * similarity / (1 + similarity)
-    radius = int(128 * np.arccos(cosine) / np.pi)
+    radius = int(128 * np.arccos(cosine) / np.pi) + slack
     spoken = docs.where(F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    found = clusters(fingerprints(spoken, width, (42, 43)), radius, projected_cells(grids, segments), ("f0", "f1"))
-    extra = found.where("doc_id <> component_id").select("doc_id").distinct()
+    names, key = ("f0", "f1"), ["f0", "f1", "words"]
+    fps = common.durable(fingerprints(spoken, width, (42, 43), True))
+    nodes = common.durable(fps.groupBy(*key).agg(F.min("doc_id").alias("node")))
+    found = common.components(similar(link(nodes, radius, projected_cells(grids, segments), names, True), spoken, width, similarity))
+    named = nodes.join(found, "node", "left").select(*key, F.coalesce("root", "node").alias("component_id"))
+    extra = fps.join(named, key).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(extra, "doc_id", "left_anti")
 
 
