@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common
 
@@ -90,22 +91,6 @@ def near_cells(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(cells).view(np.int64)
 
 
-def projected_cells(grids: int, segments: int):
-    """Cells of several projections of the segment-count vector on a few segments each: for larger radii."""
-    rng = np.random.default_rng(20)
-    masks = [np.uint64(sum(3 << (2 * int(s)) for s in rng.choice(32, segments, replace=False))) for _ in range(grids)]
-
-    def cells(fp: np.ndarray):
-        v = _counts(fp)
-        out = []
-        for g, m in enumerate(masks):
-            x = (v & m) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(g)
-            out.append((x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
-        return np.tile(np.arange(len(fp)), grids), np.concatenate(out).view(np.int64)
-
-    return cells
-
-
 def _small_pairs(cell: np.ndarray, fps: list[np.ndarray], radius: int, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs within radius, and their distances, in the cells of 64 rows or fewer; of: the size of each row's cell."""
     small = np.flatnonzero((of > 1) & (of <= 64))
@@ -263,13 +248,165 @@ def shingle_set(text: bytes | None, width: int) -> set[bytes]:
     return set(map(b" ".join, zip(*(words[i:] for i in range(n)))))
 
 
-def similar(edges: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The edges (u, v: doc_id) whose texts have that Jaccard similarity of shingles, exactly; one pair of sets at a time."""
-    edges = common.durable(edges.distinct())
-    ends = edges.select(F.col("u").alias("doc_id")).unionAll(edges.select("v")).distinct()
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    own = common.durable(own.join(ends, "doc_id", "left_semi"))
-    a, b = own.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), own.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
+#: Texts whose shingles are counted to learn which are common; bits of a shingle bitmap; rows of an exact block; rows of
+#: a list whose pairs are all taken in the first round.
+_SAMPLE, _BITMAP, _ROWS, _SHORT = 20_000, 512, 2048, 8
+
+
+def _needed(a, b, similarity: float):
+    """Shingles that sets of a and b must share at least for that Jaccard similarity."""
+    return np.ceil(similarity / (1 + similarity) * (a + b) - 1e-9).astype(np.int64)
+
+
+def _hashes(text: bytes, width: int) -> np.ndarray:
+    """Distinct hashes of the shingles."""
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingle_set(text, width)), np.uint64)).view(np.int64)
+
+
+def _bitmap(hashes: np.ndarray) -> bytes:
+    """Parities of the set's members by bit: two of them differ in no more bits than the sets in members."""
+    odd = np.bincount(hashes.view(np.uint64) % np.uint64(_BITMAP), minlength=_BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _node(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join(text.lower().split())) - (1 << 63)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(common.row_key(docs), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+
+
+def _common_shingles(texts: DataFrame, share: int, width: int, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, how many sampled texts have each) of the shingles met more than once; only speed depends on them."""
+
+    def run(parts):
+        for part in parts:
+            for text in part.column(0).to_pylist():
+                if _node(text) % share == 0:
+                    yield pa.RecordBatch.from_arrays([pa.array(_hashes(text, width))], names=["h"])
+
+    found = texts.select("text").mapInArrow(run, "h long").groupBy("h").count().where("count > 1")
+    found = found.orderBy(F.desc("count"), "h").limit(most).toPandas().sort_values("h")
+    return found["h"].to_numpy(np.int64), found["count"].to_numpy(np.int64)
+
+
+def postings(texts: DataFrame, width: int, similarity: float, share: int) -> DataFrame:
+    """(h, node, size, pos): the first shingles of each set, rare ones first, that sets of that similarity must share one of.
+
+    Any order that is the same for all sets will do; the sample's counts only keep common shingles out of the lists.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(_common_shingles(texts, share, width))
+    schema = pa.schema([("h", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("pos", pa.int32())])
+
+    def run(parts):
+        known, often = sent.value
+        met = set()
+        for part in parts:
+            out = []
+            for text in part.column(0).to_pylist():
+                node = _node(text)
+                if node in met:
+                    continue
+                if len(met) < 1 << 18:
+                    met.add(node)
+                h = _hashes(text, width)
+                count = np.zeros(len(h), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    count = np.where(known[at] == h, often[at], 0)
+                first = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
+                h, size = h[np.lexsort((h, count))[:first]], len(h)
+                out.append((h, np.full(len(h), node), np.full(len(h), size, np.int32), np.arange(len(h), dtype=np.int32)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+
+    return texts.select("text").mapInArrow(run, "h long, node long, size int, pos int")
+
+
+def _candidates(lists: DataFrame, roots: DataFrame | None, similarity: float, every: bool) -> DataFrame:
+    """(u, v): pairs of different roots in one list that its positions, sizes and bitmaps don't rule out.
+
+    Without `every`, a long list is dealt into blocks and each of its rows gives the nearest of such pairs only; with it,
+    every pair of blocks is one unit of work, and short lists, all of whose pairs came before, are left out.
+    """
+    rows = lists.withColumn("root", F.col("node"))
+    if roots is not None:
+        rows = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    if every:
+        sizes = sizes.where(F.col("n") > _SHORT)
+    rows = rows.join(sizes.select("h", F.ceil(F.col("n") / _ROWS).alias("blocks")), "h").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    if every:
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"))
+        rows = rows.withColumn("i", F.least("b", "o")).withColumn("j", F.greatest("b", "o"))
+    else:
+        rows = rows.withColumn("i", F.col("b")).withColumn("j", F.col("b"))
+
+    def pairs(node, size, pos, root, bits, b, i, j):
+        x, y = np.flatnonzero(b == i), np.flatnonzero(b == j)
+        left, step = size - pos, max(1, (1 << 20) // max(1, len(y)))
+        for at in range(0, len(x), step):
+            p = x[at : at + step]
+            need = _needed(size[p, None], size[None, y], similarity)
+            apart = (root[p, None] != root[None, y]) & (np.minimum(left[p, None], left[None, y]) >= need)
+            far = np.zeros(apart.shape, np.int32)
+            for w in range(bits.shape[1]):
+                far += np.bitwise_count(bits[p, w][:, None] ^ bits[None, y, w])
+            apart &= far <= size[p, None] + size[None, y] - 2 * need
+            if every or len(node) <= _SHORT:
+                k, m = np.nonzero(apart)
+            else:
+                m = np.where(apart, far, 1 << 30).argmin(axis=1)
+                k = np.flatnonzero(apart[np.arange(len(p)), m])
+                m = m[k]
+            yield np.stack([np.maximum(node[p[k]], node[y[m]]), np.minimum(node[p[k]], node[y[m]])])
+
+    def run(parts):
+        held, out, count = None, [], 0
+
+        def groups():
+            nonlocal held
+            for part in parts:
+                cols = [part.column(c).to_numpy(zero_copy_only=False) for c in range(9)]
+                held = cols if held is None else [np.concatenate(c) for c in zip(held, cols)]
+                if len(held[0]) < 1 << 14:
+                    continue
+                yield from cut(False)
+            if held is not None:
+                yield from cut(True)
+
+        def cut(last):
+            nonlocal held
+            unit = np.flatnonzero(np.r_[True, (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]) | (held[2][1:] != held[2][:-1])])
+            ends = np.r_[unit[1:], len(held[0])]
+            now, whole = held, len(unit) if last else len(unit) - 1
+            held = [c[unit[-1] :] for c in now]
+            for s, e in zip(unit[:whole], ends[:whole]):
+                if e - s > 1:
+                    yield [c[s:e] for c in now]
+
+        for _, i, j, b, node, size, pos, root, bits in groups():
+            bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(node), -1)
+            for found in pairs(node, size.astype(np.int64), pos.astype(np.int64), root, bits, b, i[0], j[0]):
+                if found.shape[1]:
+                    out.append(found)
+                    count += found.shape[1]
+                if count >= 1 << 16:
+                    u, v = np.unique(np.concatenate(out, axis=1), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                    out, count = [], 0
+        if out:
+            u, v = np.unique(np.concatenate(out, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    dealt = rows.select("h", "i", "j", "b", "node", "size", "pos", "root", "bits")
+    return dealt.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, "u long, v long").distinct()
+
+
+def similar(edges: DataFrame, own: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The edges (u, v) whose texts have that Jaccard similarity of shingles, exactly; own: (node, text) of all ends."""
+    a, b = own.select(F.col("node").alias("u"), F.col("text").alias("a")), own.select(F.col("node").alias("v"), F.col("text").alias("b"))
 
     def judge(parts):
         held, y = None, set()
@@ -289,23 +426,48 @@ def similar(edges: DataFrame, docs: DataFrame, width: int, similarity: float) ->
     return edges.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(judge, "u long, v long")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, grids: int = 24, segments: int = 10, slack: int = 8) -> DataFrame:
-    """docs without all but the smallest doc_id of each group of near copies on width-word shingles.
+def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(row_key, doc_id, node, root) of the rows with words: node by the words, root for each set of linked nodes.
 
-    Two fingerprints with different seeds make 128 bits.  A Jaccard similarity s means a cosine of 2s / (1 + s) and
-    an expected angle share of bits that differ; up to `slack` bits more make a candidate, and the exact similarity of
-    its shingle sets decides.  Texts of the same words are copies.  Rows without words stay.
+    All pairs of that similarity are found: they share one of their first shingles.  Pairs of short lists and each row's
+    nearest one in long lists are decided first, twice; then all the pairs in long lists that are still apart.
+    """
+    texts = _texts(docs.where(F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
+    schema = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
+
+    def run(parts):
+        for part in parts:
+            own = part.column(2).to_pylist()
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(map(_node, own), pa.int64()), pa.array([_bitmap(_hashes(t, width)) for t in own], pa.binary())], schema=schema)
+
+    rows = common.durable(texts.mapInArrow(run, "row_key long, doc_id long, node long, bits binary"))
+    share = max(1, rows.count() // _SAMPLE)
+    lists = postings(texts, width, similarity, share).repartition("h").dropDuplicates(["h", "node"])
+    lists = common.durable(lists.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n"))
+    nodes = rows.join(lists.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("bits").alias("bits"))
+    nodes = common.durable(nodes)
+    lists = common.durable(lists.join(nodes.select("node", "bits"), "node"))
+    links, roots = None, None
+    for every in (False, False, True):
+        pairs = common.durable(_candidates(lists, roots, similarity, every))
+        ends = pairs.select(F.col("u").alias("node")).unionAll(pairs.select("v")).distinct()
+        own = common.durable(texts.join(nodes.join(ends, "node", "left_semi").select("node", "row_key"), "row_key").select("node", "text").dropDuplicates(["node"]))
+        found = common.durable(similar(pairs, own, width, similarity))
+        links = found if links is None else links.unionByName(found)
+        roots = common.components(links)
+    return rows.select("row_key", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs without all but the smallest doc_id of each group of texts linked by that Jaccard similarity of shingles.
+
+    Texts of the same words are copies.  Rows without words stay.  Rows that share a doc_id are told apart by what they
+    say; equal rows stay or go together.
     """
-    cosine = 2 * similarity / (1 + similarity)
-    radius = int(128 * np.arccos(cosine) / np.pi) + slack
-    spoken = docs.where(F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    names, key = ("f0", "f1"), ["f0", "f1", "words"]
-    fps = common.durable(fingerprints(spoken, width, (42, 43), True))
-    nodes = common.durable(fps.groupBy(*key).agg(F.min("doc_id").alias("node")))
-    found = common.components(similar(link(nodes, radius, projected_cells(grids, segments), names, True), spoken, width, similarity))
-    named = nodes.join(found, "node", "left").select(*key, F.coalesce("root", "node").alias("component_id"))
-    extra = fps.join(named, key).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti")
+    rows = common.durable(near_copies(docs, width, similarity).withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")))
+    first = rows.groupBy("root").agg(F.min("place").alias("first"))
+    extra = rows.join(first, "root").where("place.row_key <> first.row_key").select(F.col("row_key").alias("_tidemark_key")).distinct()
+    return docs.withColumn("_tidemark_key", common.row_key(docs)).join(extra, "_tidemark_key", "left_anti").drop("_tidemark_key")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
