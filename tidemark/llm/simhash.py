@@ -250,7 +250,7 @@ def shingle_set(text: bytes | None, width: int) -> set[bytes]:
 
 #: Texts whose shingles are counted to learn which are common; bits of a shingle bitmap; rows of an exact block; rows of
 #: a list whose pairs are all taken in the first round.
-_SAMPLE, _BITMAP, _ROWS, _SHORT = 20_000, 512, 2048, 8
+_SAMPLE, _BITMAP, _ROWS, _SHORT = 8_000, 512, 2048, 8
 
 
 def _needed(a, b, similarity: float):
@@ -277,7 +277,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(common.row_key(docs), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
-def _common_shingles(texts: DataFrame, share: int, width: int, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def _common_shingles(texts: DataFrame, share: int, width: int, most: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
     """(hashes in order, how many sampled texts have each) of the shingles met more than once; only speed depends on them."""
 
     def run(parts):
