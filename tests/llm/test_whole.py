@@ -59,3 +59,11 @@ def test_pairs_inside_families_under_the_threshold(spark, monkeypatch, block):
             docs.append((2 * k + half, " ".join(_edited(own, range(at, at + 10), f"half{k}_{half}_"))))
     gone = _near(docs)
     assert gone and _removed(spark, docs) == gone
+
+
+def test_texts_that_share_a_doc_id(spark):
+    """Only the near copy goes, not the other text under its id."""
+    words = [f"w{n}" for n in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join(_edited(words, [50], "new"))), (2, " ".join(f"other{n}" for n in range(100)))]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    assert {r.text for r in simhash.drop_near_copies(docs).collect()} == {rows[0][1], rows[2][1]}
