@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tidemark.llm import common, simhash
+from tidemark.llm import common, neighbours, simhash
 
 
 def _near(docs):
@@ -67,3 +67,28 @@ def test_texts_that_share_a_doc_id(spark):
     rows = [(1, " ".join(words)), (2, " ".join(_edited(words, [50], "new"))), (2, " ".join(f"other{n}" for n in range(100)))]
     docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
     assert {r.text for r in simhash.drop_near_copies(docs).collect()} == {rows[0][1], rows[2][1]}
+
+
+def test_the_audit_sees_lone_pairs_beside_a_dense_group(spark):
+    rng = np.random.default_rng(4)
+    dense = np.ones(32) + 0.01 * rng.standard_normal((300, 32))
+    lone = np.repeat(rng.standard_normal((60, 32)), 2, axis=0) + 0.01 * rng.standard_normal((120, 32))
+    rows = [(k, bytearray(v.tobytes()), 1) for k, v in enumerate(np.r_[dense, lone])]
+    nodes = spark.createDataFrame(rows, "node long, v binary, copies long")
+    linked = spark.createDataFrame([(k, 299) for k in range(300)], "node long, n long")
+    assert neighbours.audit(nodes, linked, 32, 0.9) < 0.5
+    whole = linked.union(spark.createDataFrame([(k, 1) for k in range(300, 420)], "node long, n long"))
+    assert neighbours.audit(nodes, whole, 32, 0.9) == 1
+
+
+def test_trees_grow_with_the_planes():
+    for bits in (0, 8, 13, 18):
+        assert 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** neighbours.trees_for(bits, 0.9) >= 0.99
+
+
+def test_all_pairs_are_compared_when_the_audit_never_holds(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "audit", lambda *a: 0.0)
+    monkeypatch.setattr(neighbours, "leaves", lambda nodes, *a: nodes.selectExpr("node", "node nbr", "cast(0 as float) sim").where("false"))
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0])]
+    got = neighbours.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == {1: (1, 1), 2: (1, 1), 3: (0, 3)}

@@ -3,8 +3,8 @@
 Distinct vectors are the nodes.  Random-hyperplane leaves of bounded size give a first neighbour graph; rounds of
 neighbours-of-neighbours joins refine it until few entries change.  A list full of links is saturated and grows.  Edges
 near the threshold make candidate groups; inside a group every link is counted exactly in double precision, block by
-block, so a dense group of any size needs no list as long as itself.  A sample of vectors, held against all rows,
-audits the recall; more leaves are added until it suffices.
+block, so a dense group of any size needs no list as long as itself.  Samples of vectors, held against all rows,
+audit the recall; more leaves are added, and if that doesn't suffice every pair of blocks is compared.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing and are
 their own component; vectors of different lengths are compared as if the shorter were padded with zeros; equal rows
@@ -25,7 +25,7 @@ from . import common
 
 #: Neighbours a list holds, and holds when saturated; rows of a leaf; trees; rounds; rows of an exact block.
 NEIGHBOURS, WIDE, LEAF, TREES, ROUNDS, BLOCK = 8, 32, 192, 12, 4, 1024
-#: Vectors whose links the audit counts against all rows, and the recall it asks for.
+#: Vectors of a kind whose links the audit counts against all rows, and the recall it asks for.
 AUDIT, RECALL = 512, 0.97
 
 
@@ -230,11 +230,29 @@ def _square(ok, a, b, n):
     return full
 
 
+def trees_for(bits: int, threshold: float, found: float = 0.99) -> int:
+    """Trees in which a pair at the threshold shares a leaf at least once with that chance, each of so many planes."""
+    one = (1 - np.arccos(threshold) / np.pi) ** bits
+    return TREES if one >= 1 else max(TREES, int(np.ceil(np.log(1 - found) / np.log(1 - one))))
+
+
 def audit(nodes: DataFrame, linked: DataFrame, width: int, threshold: float, queries: int = AUDIT) -> float:
-    """Share of the links of a bounded sample of nodes, counted against all rows, that were found; 1 if there are none."""
-    asked = nodes.orderBy(F.xxhash64("node"), "node").limit(queries).select("node", "v").toPandas()
-    if not len(asked):
+    """Mean share of a vector's links, counted against all rows, that were found; 1 if there are none.
+
+    Samples are bounded: of vectors without found links, with few, and with many, each standing for all of its kind.
+    The lesser mean of those that have few links and of those that have many counts, so neither hides the other.
+    """
+    m = F.coalesce("m", F.lit(0))
+    known = nodes.join(linked.select("node", F.col("n").alias("m")), "node", "left")
+    known = known.select("node", "v", m.alias("m"), F.when(m == 0, 0).when(m <= WIDE, 1).otherwise(2).alias("kind"))
+    sizes = {r["kind"]: r["count"] for r in known.groupBy("kind").count().collect()}
+    parts = [known.where(F.col("kind") == k).orderBy(F.xxhash64("node"), "node").limit(2 * queries if k == 0 else queries) for k in sizes]
+    if not parts:
         return 1.0
+    asked = parts[0]
+    for x in parts[1:]:
+        asked = asked.unionByName(x)
+    asked = asked.toPandas()
     q = np.frombuffer(b"".join(asked["v"]), np.float64).reshape(-1, width)
     q = q / np.abs(q).max(axis=1, keepdims=True)
     q = q / np.linalg.norm(q, axis=1, keepdims=True)
@@ -245,16 +263,20 @@ def audit(nodes: DataFrame, linked: DataFrame, width: int, threshold: float, que
         own, x = sent.value
         total = np.zeros(len(own), np.int64)
         for part in parts:
-            if part.num_rows:
-                v = _unit(part, 1, width)
-                node, copies = part.column(0).to_numpy(), part.column(2).to_numpy()
+            for at in range(0, part.num_rows, 1024):
+                some = part.slice(at, 1024)
+                v = _unit(some, 1, width)
+                node, copies = some.column(0).to_numpy(), some.column(2).to_numpy()
                 total += (((x @ v.T) >= threshold) & (own[:, None] != node[None])) @ copies
         has = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(own[has]), pa.array(total[has])], names=["node", "n"])
 
     truth = nodes.select("node", "v", "copies").mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    both = truth.join(linked.select("node", F.col("n").alias("m")), "node", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("m", F.lit(0))))).first()
-    return (both[1] / both[0]) if both[0] else 1.0
+    both = asked[["node", "m", "kind"]].merge(truth.toPandas(), on="node")
+    share = np.minimum(both["m"], both["n"]) / both["n"]
+    weight = both["kind"].map(sizes) / both["kind"].map(asked["kind"].value_counts())
+    means = [np.average(share[x], weights=weight[x]) for x in (both["n"] <= WIDE, both["n"] > WIDE) if x.any()]
+    return float(min(means, default=1.0))
 
 
 def link(rows: DataFrame, threshold: float = 0.9, recall: float = RECALL) -> DataFrame:
@@ -266,8 +288,9 @@ def link(rows: DataFrame, threshold: float = 0.9, recall: float = RECALL) -> Dat
     size = nodes.count()
     bits = max(0, int(np.ceil(np.log2(max(size, 1) / LEAF))))
     graph, seed = None, 7
+    trees = trees_for(bits, threshold)
     for attempt in range(3):
-        started = leaves(nodes, width, bits, TREES << attempt, seed + attempt, NEIGHBOURS // 2)
+        started = leaves(nodes, width, bits, trees << attempt, seed + attempt, NEIGHBOURS // 2)
         if graph is not None:
             started = started.unionByName(graph.select("node", "nbr", "sim"))
         graph = common.durable(_kept(started.groupBy("node", "nbr").agg(F.max("sim").alias("sim")), threshold, NEIGHBOURS, WIDE))
@@ -283,6 +306,9 @@ def link(rows: DataFrame, threshold: float = 0.9, recall: float = RECALL) -> Dat
         logging.getLogger(__name__).info("recall of links: %.4f of %d vectors' links", got, AUDIT)
         if got >= recall:
             break
+    else:  # every pair of blocks of all vectors
+        everyone = nodes.select("node", F.lit(0).cast("long").alias("root"))
+        exact = common.durable(count_links(nodes, everyone, width, threshold).groupBy("node").agg(F.sum("n").alias("n"), F.collect_set("low").alias("lows")))
     joined = common.components(exact.select(F.col("node").alias("u"), F.explode("lows").alias("v")))
     named = nodes.join(exact.select("node", "n"), "node", "left").join(joined, "node", "left")
     named = named.select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
