@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tidemark.llm import common, neighbours, simhash
+from tidemark.llm import chunks, common, neighbours, simhash, suffix
 
 
 def _near(docs):
@@ -92,3 +92,62 @@ def test_all_pairs_are_compared_when_the_audit_never_holds(spark, monkeypatch):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0])]
     got = neighbours.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
+def _under_one_id(spark):
+    """(1, A), (2, A), (2, B), (3, A + B): only what stands earlier goes, whatever the ids."""
+    rng = np.random.default_rng(6)
+    a, b = (" ".join(f"{w}{rng.integers(10**6)}" for w in ("alpha beta gamma delta " * 15).split()) for _ in range(2))
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, a + " " + b), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return a, b, docs.repartition(3)
+
+
+def test_repeats_under_one_doc_id(spark):
+    a, b, docs = _under_one_id(spark)
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffix.removal_digests(docs).collect())
+    both = len(a) + 1 + len(b)
+    assert got == sorted([(0, len(a), 0), (1, len(a), 0), (2, len(a), len(a)), (2, len(b), 0), (2, len(b), 0), (3, both, both - 1)])
+    assert sorted(r.text for r in suffix.remove_repeats(docs).where("doc_id = 2").collect()) == sorted(["", b, b])
+
+
+def test_chunks_under_one_doc_id(spark):
+    a, b, docs = _under_one_id(spark)
+    of = {(r.doc_id, r.n_bytes): r.n_removed for r in chunks.removal(docs).where("doc_id < 3").collect()}
+    assert of[1, len(a)] == of[2, len(b)] == 0 and of[2, len(a)] == len(a)
+
+
+@pytest.mark.parametrize("hot", [1, 3, 10**6])
+def test_grams_split_by_their_surroundings(spark, monkeypatch, hot):
+    """A line in every text: whether its grams are hot or not, the same bytes go."""
+    import hashlib
+
+    monkeypatch.setattr(suffix, "HOT", hot)
+    rng = np.random.default_rng(7)
+    line = "this very line of seventy letters or more stands in each of the documents here"
+    texts = []
+    for k in range(60):
+        own = " ".join(f"w{rng.integers(10**7)}" for _ in range(60))
+        cut = int(rng.integers(0, 400))
+        texts.append(own[:cut] + line + (line[::-1] + texts[k // 2][-80:] if k % 3 else "") + own[cut:])
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        x = t.encode()
+        gone = np.zeros(len(x), bool)
+        for p in range(len(x) - 99):
+            if x[p : p + 100] in seen:
+                gone[p : p + 100] = True
+            seen.add(x[p : p + 100])
+        want[i] = (int(gone.sum()), hashlib.sha256(np.frombuffer(x, np.uint8)[~gone].tobytes()).hexdigest())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in suffix.removal_digests(docs).collect()} == want
+    found = suffix.repeat_groups(docs).collect()
+    of = {}
+    for r in found:
+        of.setdefault((r.grp, r.length), []).append((r.doc_id, r.start))
+    assert of and all(len(places) > 1 for places in of.values())
+    for (_, n), places in of.items():
+        assert len({texts[d][s : s + n] for d, s in places}) == 1 and n >= 100
+        string = texts[places[0][0]][places[0][1] : places[0][1] + n]
+        every = {(d, s) for d, t in enumerate(texts) for s in range(len(t)) if t.startswith(string, s)}
+        assert set(places) == every

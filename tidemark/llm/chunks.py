@@ -4,8 +4,10 @@ A gear rolling hash over the last 32 bytes sets chunk ends, so an insertion move
 repeat if its digest stands earlier (smaller doc_id, or same document and earlier place).  Short chunks are common
 phrases, not passages: runs of repeated chunks count from `least` bytes on.
 
-Defined results: a null text is empty and has no chunks; rows that repeat a doc_id with the same text count as one
-document; rows without doc_id lose nothing; an empty table gives no rows; other columns are ignored.
+Defined results: a null text is empty and has no chunks; very long texts are cut block by block with the same ends; rows
+that repeat a doc_id with the same text count as one document; rows that repeat it with another text are documents of
+their own, in the order of a hash of their texts; rows without doc_id lose nothing; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,41 +64,47 @@ FIRST, AGAIN, TOTAL = 0, 1, 2
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """(d0, d1, doc_id, place, size, kind): chunks by 128-bit digest; those that a batch knows to be repeats are told so."""
-    schema = pa.schema([("d0", pa.int64()), ("d1", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("size", pa.int32()), ("kind", pa.int8())])
+    """(d0, d1, doc_id, sub, place, size, kind): chunks by 128-bit digest; those that a batch knows to be repeats are told so."""
+    schema = pa.schema([("d0", pa.int64()), ("d1", pa.int64()), ("doc_id", pa.int64()), ("sub", pa.int64()), ("place", pa.int64()), ("size", pa.int32()), ("kind", pa.int8())])
 
     def run(parts):
         for part in parts:
-            seen: dict[bytes, tuple[int, int]] = {}
-            digests, rest = [], [[], [], [], []]
+            seen: dict[bytes, tuple[int, int, int]] = {}
+            digests, rest = [], [[], [], [], [], []]
 
             def batch():
                 x = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), *(pa.array(c, t) for c, t in zip(rest, schema.types[2:]))], schema=schema)
 
-            for doc, text in sorted(zip(part.column(0).to_pylist(), (t or b"" for t in part.column(1).to_pylist()))):
+            for doc, sub, text in sorted(zip(*(part.column(i).to_pylist() for i in range(3)))):
                 at, cuts = 0, ends(text)
                 for e in cuts:
                     d = hashlib.blake2b(text[at:e], digest_size=16).digest()
                     digests.append(d)
-                    first = seen.setdefault(d, (doc, at)) == (doc, at)
-                    for column, x in zip(rest, (doc, at, e - at, FIRST if first else AGAIN)):
+                    first = seen.setdefault(d, (doc, sub, at)) == (doc, sub, at)
+                    for column, x in zip(rest, (doc, sub, at, e - at, FIRST if first else AGAIN)):
                         column.append(x)
                     at = e
                 digests.append(bytes(16))
-                for column, x in zip(rest, (doc, 0, len(cuts), TOTAL)):
+                for column, x in zip(rest, (doc, sub, 0, len(cuts), TOTAL)):
                     column.append(x)
                 if len(digests) > 1 << 17:
                     yield batch()
-                    digests, rest = [], [[], [], [], []]
+                    digests, rest = [], [[], [], [], [], []]
             if digests:
                 yield batch()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).where("doc_id is not null").mapInArrow(run, "d0 long, d1 long, doc_id long, place long, size int, kind byte")
+    return keyed(docs).where("doc_id is not null").mapInArrow(run, "d0 long, d1 long, doc_id long, sub long, place long, size int, kind byte")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, sub, body): sub tells texts that share a doc_id apart."""
+    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("sub"), body.alias("body"))
 
 
 def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, n_chunks, runs: array<struct<s, e>>): runs of chunks, of `least` bytes at least, that stand earlier.
+    """(doc_id, sub, n_chunks, runs: array<struct<s, e>>): runs of chunks, of `least` bytes at least, that stand earlier.
 
     One shuffle by digest: in its order, all rows of a digest but the first place are repeats.
     """
@@ -104,35 +112,34 @@ def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     def told(parts):
         last = None
         for part in parts:
-            columns = [part.column(i).to_numpy() for i in range(6)]
-            d0, d1, doc, place, _, kind = columns
+            d0, d1, doc, sub, place, _, kind = (part.column(i).to_numpy() for i in range(7))
             n = len(d0)
             if not n:
                 continue
             same = np.zeros(n, bool)
             same[1:] = (d0[1:] == d0[:-1]) & (d1[1:] == d1[:-1]) & (kind[1:] == kind[:-1])
             twin = np.zeros(n, bool)  # a repeated row isn't a repeat
-            twin[1:] = (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])
+            twin[1:] = (doc[1:] == doc[:-1]) & (sub[1:] == sub[:-1]) & (place[1:] == place[:-1])
             if last is not None:
-                same[0] = last[:2] == (d0[0], d1[0]) and last[4] == kind[0]
-                twin[0] = last[2:4] == (doc[0], place[0])
+                same[0] = last[:3] == (d0[0], d1[0], kind[0])
+                twin[0] = last[3:] == (doc[0], sub[0], place[0])
             out = (kind != FIRST) | (same & ~twin)
-            last = (d0[-1], d1[-1], doc[-1], place[-1], kind[-1])
-            yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(out)) for i in range(2, 6)], names=["doc_id", "place", "size", "kind"])
+            last = (d0[-1], d1[-1], kind[-1], doc[-1], sub[-1], place[-1])
+            yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(out)) for i in range(2, 7)], names=["doc_id", "sub", "place", "size", "kind"])
 
     # rows that only pass through are dealt by their own place, so that a common chunk makes no large task
-    rows = chunked(docs).withColumn("d0", F.when(F.col("kind") == FIRST, F.col("d0")).otherwise(F.xxhash64("doc_id", "place")))
-    rows = rows.repartition("d0").sortWithinPartitions("d0", "d1", "kind", "doc_id", "place")
-    rows = rows.mapInArrow(told, "doc_id long, place long, size int, kind byte")
+    rows = chunked(docs).withColumn("d0", F.when(F.col("kind") == FIRST, F.col("d0")).otherwise(F.xxhash64("doc_id", "sub", "place")))
+    rows = rows.repartition("d0").sortWithinPartitions("d0", "d1", "kind", "doc_id", "sub", "place")
+    rows = rows.mapInArrow(told, "doc_id long, sub long, place long, size int, kind byte")
     is_total = F.col("kind") == TOTAL
     span = F.struct(F.col("place").alias("s"), (F.col("place") + F.col("size")).alias("e"))
-    own = rows.groupBy("doc_id").agg(F.max(F.when(is_total, F.col("size").cast("long"))).alias("n_chunks"), F.collect_list(F.when(~is_total, span)).alias("again"))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chunks", pa.int64()), ("runs", pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))])
+    own = rows.groupBy("doc_id", "sub").agg(F.max(F.when(is_total, F.col("size").cast("long"))).alias("n_chunks"), F.collect_list(F.when(~is_total, span)).alias("again"))
+    schema = pa.schema([("doc_id", pa.int64()), ("sub", pa.int64()), ("n_chunks", pa.int64()), ("runs", pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))])
 
     def run(parts):
         for part in parts:
             out = []
-            for again in part.column(2).to_pylist():
+            for again in part.column(3).to_pylist():
                 runs: list[list[int]] = []
                 for s, e in sorted({(x["s"], x["e"]) for x in again}):
                     if runs and runs[-1][1] == s:
@@ -140,15 +147,15 @@ def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
                     else:
                         runs.append([s, e])
                 out.append([{"s": s, "e": e} for s, e in runs if e - s >= least])
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, schema.types[2])], schema=schema)
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(out, schema.types[3])], schema=schema)
 
-    return own.mapInArrow(run, "doc_id long, n_chunks long, runs array<struct<s: bigint, e: bigint>>")
+    return own.mapInArrow(run, "doc_id long, sub long, n_chunks long, runs array<struct<s: bigint, e: bigint>>")
 
 
 def removal(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc_id, n_bytes, n_chunks, n_removed, n_spans, spans) of each document."""
-    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("n_bytes"))
-    found = sizes.join(repeated_runs(docs, least), "doc_id", "left")
+    sizes = keyed(docs).select("doc_id", "sub", F.octet_length("body").cast("long").alias("n_bytes"))
+    found = sizes.join(repeated_runs(docs, least), ["doc_id", "sub"], "left")
     gone = F.aggregate("runs", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
     return found.select(
         "doc_id",

@@ -4,14 +4,17 @@ Every window of `least` bytes holds one chosen gram: the smallest hash, leftmost
 same gram at the same place, so the suffixes at chosen grams, bucketed by gram, hold every repeat.  Spark's sort of a
 bucket by the text right of the gram is its suffix array.  A stack scan over common-prefix lengths gives the tree of
 prefix intervals; within an interval a second scan, over the text left of the gram, tests left extensions.  Each node
-is a maximal repeat with all of its occurrences; all but the earliest are covered.
+is a maximal repeat with all of its occurrences; all but the earliest are covered.  An occurrence carries the text of
+the windows that choose its gram and no more, so a bucket of m rows has at most `least` nested intervals a row.
 
-Occurrences whose whole surroundings equal an earlier one's are known to be covered without either tree: they are
-taken out in the task that reads them and again in the bucket, so copies of a text or passage are never held together.
+Grams met once take part in one narrow shuffle only; the text around the others goes to the buckets and is compared byte
+for byte.  Surroundings that equal earlier ones of their batch are covered without a tree, so copies come down to a row
+a batch.  A gram that many different surroundings share is bucketed by longer strings around it instead (pieces).
 
-Defined results: a null text is empty; texts under 100 bytes lose nothing; rows that repeat a doc_id with the same text
-count as one document and each keep its text; rows without doc_id lose nothing; an empty table gives no rows; other
-columns of the input are ignored.
+Defined results: a null text is empty; texts under 100 bytes, very long ones and ties follow the one rule; rows that
+repeat a doc_id with the same text count as one document and each loses the same; rows that repeat it with another text
+are documents of their own, in the order of a hash of their texts; rows without doc_id lose nothing and cover nothing;
+an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +31,9 @@ from pyspark.sql import types as T
 from . import common
 
 GRAM = 32
+#: Texts sampled to learn which grams many different surroundings share, how many make one hot, how many hot ones are
+#: sent to the tasks, and the pieces that such a gram is cut into.  Results don't depend on these.
+SAMPLE, HOT, MOST_HOT, PIECES = 8_000, 24, 1 << 16, 4
 #: Bytes hashed at once; longer texts go block by block.
 _BLOCK = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
@@ -47,9 +53,9 @@ def _gram_hashes(x: np.ndarray, gram: int) -> np.ndarray:
     return h
 
 
-def chosen_grams(text: bytes, least: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the grams that the windows of `least` bytes choose."""
-    places, hashes, wide = [], [], least - gram + 1
+def chosen_grams(text: bytes, least: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, hashes, first, last): the grams that the windows of `least` bytes choose, and where those windows start."""
+    found, wide = [], least - gram + 1
     for at in range(0, max(len(text) - least + 1, 0), _BLOCK):
         h = _gram_hashes(np.frombuffer(text[at : at + _BLOCK + least - 1], np.uint8), gram)
         m = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
@@ -59,15 +65,14 @@ def chosen_grams(text: bytes, least: int, gram: int = GRAM) -> tuple[np.ndarray,
             s *= 2
         if wide > s:
             m = np.minimum(m[: s - wide], m[wide - s :])
-        new = np.ones(len(m), bool)
-        new[1:] = m[1:] != m[:-1]
-        own = (m[new] & _PLACE).astype(np.int64)
-        places.append(own + at)
-        hashes.append(h[own])
-    if len(places) > 1:  # blocks share windows' ends
-        p, first = np.unique(np.concatenate(places), return_index=True)
-        return p, np.concatenate(hashes)[first]
-    return (places[0], hashes[0]) if places else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        first = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
+        own = (m[first] & _PLACE).astype(np.int64)
+        found.append((own + at, h[own], first + at, np.r_[first[1:], len(m)] - 1 + at))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    places, hashes, first, last = (np.concatenate(x) for x in zip(*found))
+    new = np.r_[True, places[1:] != places[:-1]]  # a gram chosen at the ends of two blocks is one
+    return places[new], hashes[new], first[new], last[np.r_[new[1:], True]]
 
 
 def prefix_intervals(lcp: list[int]):
@@ -105,47 +110,106 @@ def maximal_repeats(rights: list[bytes], lefts: list[bytes], lcp: list[int], lea
 
 
 def covered(rows: list[tuple], lcp: list[int], least: int):
-    """(doc, start, end) of what repeats earlier in a bucket of rows (right, reversed left, doc, place)."""
+    """(doc_id, sub, start, end) of what repeats earlier in a bucket of rows (right, reversed left, doc_id, sub, place)."""
     best = [-1] * len(rows)
     for left, right, members in maximal_repeats([r[0] for r in rows], [r[1] for r in rows], lcp, least):
         earliest = min(rows[x][2:] for x in members)
         for x in members:
-            doc, place = rows[x][2:]
-            if left > best[x] and (doc, place) != earliest:
+            doc, sub, place = rows[x][2:]
+            if left > best[x] and (doc, sub, place) != earliest:
                 best[x] = left
-                yield doc, place - left, place + right
+                yield doc, sub, place - left, place + right
 
 
-def repeated_spans(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataFrame:
-    """(doc_id, spans: array<struct<s, e>>) of bytes covered by strings of `least` bytes that start earlier.  Needs doc_id, body (binary)."""
-    before, after = least - gram, least
-    anchors = pa.schema([("key", pa.int64()), ("sig", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("kind", pa.int8())])
+def groups(rows: list[tuple], lcp: list[int], least: int):
+    """(length, doc_id, sub, start, group): every occurrence of every maximal repeat in a bucket; a group has one name."""
+    for left, right, members in maximal_repeats([r[0] for r in rows], [r[1] for r in rows], lcp, least):
+        name = xxhash.xxh3_64_intdigest(rows[members[0]][1][:left][::-1] + rows[members[0]][0][:right]) - (1 << 63)
+        for doc, sub, place in sorted({rows[x][2:] for x in members}):
+            yield left + right, doc, sub, place - left, name
+
+
+def pieces(least: int, gram: int) -> list[tuple[int, int]]:
+    """(before, behind): strings of `least` bytes around a gram's place share the bytes of one of these ranges at least.
+
+    If they share r bytes from the place on, r lies between two of the cuts, and then they share least - r before it.
+    """
+    cuts = np.linspace(gram, least + 1, PIECES + 1).astype(int).tolist()
+    return [(least + 1 - b, a) for a, b in zip(cuts, cuts[1:])]
+
+
+def _key(text: bytes, place: int, piece: int, cut: list[tuple[int, int]], gram: int) -> int:
+    before, behind = cut[piece - 1] if piece else (0, gram)
+    return xxhash.xxh3_64_intdigest(text[place - before : place + behind], piece) - (1 << 63)
+
+
+def _sampled(docs: DataFrame, least: int, gram: int) -> np.ndarray:
+    """Keys of grams that many different surroundings share, by a bounded sample of texts: only speed depends on it."""
+    share = max(1, docs.count() // SAMPLE)
+
+    def run(parts):
+        for part in parts:
+            for (text,) in zip(part.column(0).to_pylist()):
+                places, _, first, last = (x.tolist() for x in chosen_grams(text, least, gram))
+                keys = [_key(text, p, 0, [], gram) for p in places]
+                around = [xxhash.xxh3_64_intdigest(text[a : b + least]) - (1 << 63) for a, b in zip(first, last)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(around, pa.int64())], names=["key", "around"])
+
+    some = docs.where((F.octet_length("body") >= least) & (F.pmod(F.xxhash64("body"), F.lit(share)) == 0)).select("body")
+    often = some.mapInArrow(run, "key long, around long").distinct().groupBy("key").count().where(F.col("count") >= HOT)
+    found = often.orderBy(F.desc("count"), "key").limit(MOST_HOT).toPandas()
+    return np.sort(found["key"].to_numpy(np.int64))
+
+
+def surroundings(docs: DataFrame, least: int = 100, gram: int = GRAM, collapse: bool = True) -> DataFrame:
+    """(key, right, left, doc_id, sub, s, e): the text around every chosen gram whose key is met twice or more.
+
+    Needs doc_id, sub, body.  With collapse, what equals the text around an earlier gram of its batch, byte for byte, is
+    told as a covered span (right is null then), so that copies come down to one row a batch.
+    """
+    cut = pieces(least, gram)
+    anchors = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("sub", pa.int64()), ("at", pa.int64()), ("kind", pa.int8())])
+    sent = docs.sparkSession.sparkContext.broadcast(_sampled(docs, least, gram))
 
     def read(parts):
+        hot = frozenset(sent.value.tolist())
+
+        def batch(keys, docs_, subs, ats):
+            key, at = np.array(keys, np.int64), np.array(ats, np.int64)
+            order = np.argsort(key, kind="stable")
+            same = key[order][1:] == key[order][:-1]
+            again = np.zeros(len(key), bool)
+            again[order[1:]] = same  # all but the first of a key in this batch
+            many = np.zeros(len(key), bool)
+            many[order[:-1]] = same
+            kind = np.where(again, 2, np.where(many, 1, 0)).astype(np.int8)
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(docs_, pa.int64()), pa.array(subs, pa.int64()), pa.array(at), pa.array(kind)], schema=anchors)
+
         for part in parts:
-            seen: dict[tuple[int, int], tuple] = {}
-            out = [[], [], [], [], []]
-            rows = sorted((d, t) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if d is not None)
-            for doc, text in rows:
-                places, hashes = chosen_grams(text, least, gram)
-                if not len(places):
-                    continue
-                places = places.tolist()
-                around = [text[max(p - before, 0) : p + after] for p in places]
-                sigs = [xxhash.xxh3_64_intdigest(c, min(p, before)) for c, p in zip(around, places)]
-                sigs = np.array(sigs, np.uint64).view(np.int64).tolist()
-                hashes = hashes.view(np.int64).tolist()
-                kinds = [0 if seen.setdefault((h, s), (doc, p)) == (doc, p) else 1 for h, s, p in zip(hashes, sigs, places)]
-                for held, new in zip(out, (hashes, sigs, [doc] * len(places), places, kinds)):
-                    held += new
+            out = [[], [], [], []]
+            for doc, sub, text in sorted(set(zip(*(part.column(i).to_pylist() for i in range(3))))):
+                places, _, first, last = (x.tolist() for x in chosen_grams(text, least, gram))
+                for p, a, b in zip(places, first, last):
+                    key = _key(text, p, 0, cut, gram)
+                    at = (p << 20) | ((p - a) << 12) | ((b + least - p) << 4)
+                    if key not in hot:
+                        out[0].append(key)
+                        out[3].append(at)
+                    else:
+                        for k, (before, behind) in enumerate(cut, 1):
+                            if before <= p - a and behind <= b + least - p:
+                                out[0].append(_key(text, p, k, cut, gram))
+                                out[3].append(at | k)
+                out[1] += [doc] * (len(out[0]) - len(out[1]))
+                out[2] += [sub] * (len(out[0]) - len(out[2]))
                 if len(out[0]) >= 1 << 18:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, anchors.types)], schema=anchors)
-                    out = [[], [], [], [], []]
+                    yield batch(*(out[i] for i in range(4)))
+                    out = [[], [], [], []]
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, anchors.types)], schema=anchors)
+                yield batch(*out)
 
-    def bucket(parts):
-        """Sorted by key, kind, doc_id, place: what a bucket knows to be covered, and what needs the text around it."""
+    def met(parts):
+        """Sorted by key: the anchors whose key stands at two places or more."""
         held = None
         for part in _and_end(parts):
             if part is not None:
@@ -153,85 +217,97 @@ def repeated_spans(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataF
                 held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
                 if len(held[0]) < 1 << 16 or held[0][0] == held[0][-1]:
                     continue
-                cut = int(np.searchsorted(held[0], held[0][-1]))
+                end = int(np.searchsorted(held[0], held[0][-1]))
             elif held is None:
                 break
             else:
-                cut = len(held[0])
-            if cut:
-                now, held = [c[:cut] for c in held], [c[cut:] for c in held]
-                yield _sorted_out(*now)
-
-    def _sorted_out(key, sig, doc, place, kind):
-        told = kind == 1
-        rest = ~told
-        told_doc, told_place = doc[told], place[told]
-        key, sig, doc, place = (c[rest] for c in (key, sig, doc, place))
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
-        size = np.diff(np.r_[start, len(key)])
-        many = np.repeat(size, size) > 1
-        key, sig, doc, place = (c[many] for c in (key, sig, doc, place))
-        first = np.lexsort((place, doc, sig, key))  # the earliest of equal surroundings
-        k, s, d, p = key[first], sig[first], doc[first], place[first]
-        again = np.r_[False, (k[1:] == k[:-1]) & (s[1:] == s[:-1])][: len(k)]
-        twin = np.r_[False, (d[1:] == d[:-1]) & (p[1:] == p[:-1])][: len(k)] & again  # a repeated row, not a repeat
-        known = np.zeros(len(key), bool)
-        known[first] = again & ~twin
-        lone = np.zeros(len(key), bool)
-        lone[first] = ~again
-        # buckets in which two different surroundings are left
-        kk = key[lone]
-        if len(kk):
-            st = np.flatnonzero(np.r_[True, kk[1:] != kk[:-1]])
-            sz = np.diff(np.r_[st, len(kk)])
-            lone[np.flatnonzero(lone)[np.repeat(sz, sz) < 2]] = False
-        out = known | lone
-        columns = (np.concatenate(x) for x in ((told_doc, doc[out]), (told_place, place[out]), (told_place, key[out]), (np.ones(len(told_doc), bool), known[out])))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "place", "key", "known"])
+                end = len(held[0])
+            now, held = [c[:end] for c in held], [c[end:] for c in held]
+            if end:
+                key, doc, sub, at, kind = now
+                other = np.r_[False, (key[1:] == key[:-1]) & ((doc[1:] != doc[:-1]) | (sub[1:] != sub[:-1]) | (at[1:] != at[:-1]))]
+                ends = np.flatnonzero(np.r_[key[1:] != key[:-1], True])
+                starts = np.r_[0, ends[:-1] + 1]
+                twice = np.repeat(np.maximum.reduceat(other, starts), ends - starts + 1)
+                ok = (kind > 0) | twice
+                yield pa.RecordBatch.from_arrays([pa.array(c[ok]) for c in (doc, sub, at)], names=["doc_id", "sub", "at"])
+
+    schema = pa.schema([("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("doc_id", pa.int64()), ("sub", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
     def cut_out(parts):
-        schema = pa.schema([("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int64())])
+        codec = pa.Codec("zstd")
 
         def rows(part):
-            for doc, text, wanted in zip(*(part.column(i).to_pylist() for i in range(3))):
-                for x in wanted:
-                    p = x["place"]
-                    yield x["key"], text[p : p + after], text[max(p - before, 0) : p][::-1], doc, p
+            seen: dict[tuple[int, bytes, int], tuple] = {}
+            for doc, sub, size, packed, wanted in sorted(zip(*(part.column(i).to_pylist() for i in range(5))), key=lambda r: r[:2]):
+                text, told = codec.decompress(packed, size, asbytes=True), []
+                for at in sorted(wanted):
+                    p, left, right = at >> 20, (at >> 12) & 255, (at >> 4) & 255
+                    key, around, own = _key(text, p, at & 15, cut, gram), text[p - left : p + right], (doc, sub, p)
+                    if collapse and seen.setdefault((key, around, left), own) != own:
+                        told.append({"s": p - left, "e": p + right})
+                        continue
+                    yield key, around[left:], around[:left][::-1], doc, sub, p, p
+                for s, e in union(told, size):
+                    yield xxhash.xxh3_64_intdigest(b"%d %d" % (sub, s)) - (1 << 63), None, None, doc, sub, s, e
 
         for part in parts:
             yield from common.batches(rows(part), schema)
 
+    dealt = docs.where((F.octet_length("body") >= least) & F.col("doc_id").isNotNull()).select("doc_id", "sub", "body").mapInArrow(read, "key long, doc_id long, sub long, at long, kind byte")
+    # what is known to be met again in its batch only passes through, dealt by its own place
+    dealt = dealt.withColumn("key", F.when(F.col("kind") == 2, F.xxhash64("doc_id", "at")).otherwise(F.col("key")))
+    again = dealt.repartition("key").sortWithinPartitions("key", "doc_id", "sub", "at").mapInArrow(met, "doc_id long, sub long, at long")
+    wanted = again.groupBy("doc_id", "sub").agg(F.collect_set("at").alias("wanted"))
+    texts = packed(docs).join(wanted.hint("shuffle_hash"), ["doc_id", "sub"]).select("doc_id", "sub", "size", "packed", "wanted")
+    return texts.mapInArrow(cut_out, "key long, right binary, left binary, doc_id long, sub long, s long, e long")
+
+
+def _buckets(parts, gram: int, judge):
+    """judge(rows, lcp) over the buckets of sorted surroundings; covered spans pass."""
+    rows, lcp, at = [], [], None
+    for part in parts:
+        for key, right, left, doc, sub, s, e in zip(*(part.column(i).to_pylist() for i in range(7))):
+            if right is None:
+                yield doc, sub, s, e
+                continue
+            n = _shared(rows[-1][0], right) if rows and key == at else 0
+            if n < gram:
+                if lcp:
+                    yield from judge(rows, lcp)
+                rows, lcp, at = [], [], key
+            else:
+                lcp.append(n)
+            rows.append((right, left, doc, sub, s))
+    if lcp:
+        yield from judge(rows, lcp)
+
+
+def repeated_spans(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataFrame:
+    """(doc_id, sub, spans: array<struct<s, e>>) of bytes covered by strings of `least` bytes that start earlier."""
+
     def scan(parts):
-        schema = pa.schema([("doc_id", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
-
-        def spans():
-            rows, lcp = [], []
-            for part in parts:
-                for row in zip(*(part.column(i).to_pylist() for i in range(4))):
-                    n = _shared(rows[-1][0], row[0]) if rows else 0
-                    if n < gram:
-                        if lcp:
-                            yield from covered(rows, lcp, least)
-                        rows, lcp = [], []
-                    else:
-                        lcp.append(n)
-                    rows.append(row)
-            if lcp:
-                yield from covered(rows, lcp, least)
-
-        yield from common.batches(spans(), schema)
-
-    dealt = docs.select("doc_id", "body").where(F.octet_length("body") >= least).mapInArrow(read, "key long, sig long, doc_id long, place long, kind byte")
-    # what is known to be covered only passes through, dealt by its own place
-    dealt = dealt.withColumn("key", F.when(F.col("kind") == 1, F.xxhash64("doc_id", "place")).otherwise(F.col("key")))
-    sorted_out = dealt.repartition("key").sortWithinPartitions("key").mapInArrow(bucket, "doc_id long, place long, key long, known boolean")
-    sorted_out = common.durable(sorted_out)
-    wanted = sorted_out.where("not known").groupBy("doc_id").agg(F.collect_list(F.struct("place", "key")).alias("wanted"))
-    texts = docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "body", "wanted")
-    around = texts.mapInArrow(cut_out, "key long, right binary, left binary, doc_id long, place long")
-    found = around.repartition("key").sortWithinPartitions("right").select("right", "left", "doc_id", "place").mapInArrow(scan, "doc_id long, s long, e long")
-    known = sorted_out.where("known").select("doc_id", F.greatest(F.lit(0), F.col("place") - before).alias("s"), (F.col("place") + after).alias("e"))
-    return common.durable(found.unionByName(known).groupBy("doc_id").agg(F.collect_set(F.struct("s", "e")).alias("spans")))
+        schema = pa.schema([("doc_id", pa.int64()), ("sub", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
+        yield from common.batches(_buckets(parts, gram, lambda rows, lcp: covered(rows, lcp, least)), schema)
+
+    around = surroundings(docs, least, gram).repartition("key").sortWithinPartitions("key", "right")
+    found = around.mapInArrow(scan, "doc_id long, sub long, s long, e long")
+    return common.durable(found.groupBy("doc_id", "sub").agg(F.collect_set(F.struct("s", "e")).alias("spans")))
+
+
+def repeat_groups(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataFrame:
+    """(grp, doc_id, start, length): all occurrences of each maximal repeat of at least `least` bytes.
+
+    Repeats are seen inside the surroundings of one gram, so a longer one comes as overlapping groups.
+    """
+
+    def scan(parts):
+        schema = pa.schema([("length", pa.int64()), ("doc_id", pa.int64()), ("sub", pa.int64()), ("start", pa.int64()), ("grp", pa.int64())])
+        yield from common.batches(_buckets(parts, gram, lambda rows, lcp: groups(rows, lcp, least)), schema)
+
+    around = surroundings(_bodies(docs), least, gram, collapse=False).repartition("key").sortWithinPartitions("key", "right")
+    found = around.mapInArrow(scan, "length long, doc_id long, sub long, start long, grp long")
+    return found.select("grp", "doc_id", "start", "length").distinct()
 
 
 def _and_end(parts):
@@ -259,7 +335,25 @@ def kept_bytes(text: bytes, runs) -> bytes:
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body"))
+    """(doc_id, sub, body): sub tells texts that share a doc_id apart, and orders them."""
+    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("sub"), body.alias("body"))
+
+
+def packed(docs: DataFrame, rest: str | None = None) -> DataFrame:
+    """docs with size and packed, the compressed body, in its place: whole texts are shuffled in less space."""
+    columns = ["doc_id", "sub", *([rest] if rest else [])]
+
+    def run(parts):
+        codec = pa.Codec("zstd")
+        for part in parts:
+            texts = part.column(0).to_pylist()
+            made = [None if t is None else codec.compress(t, asbytes=True) for t in texts]
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([len(t or b"") for t in texts], pa.int64()), pa.array(made, pa.binary())], names=[*columns, "size", "packed"])
+
+    own = docs.select("body", *columns)
+    fields = [own.schema[c] for c in columns]
+    return own.mapInArrow(run, T.StructType([*fields, T.StructField("size", T.LongType()), T.StructField("packed", T.BinaryType())]))
 
 
 def removal_digests(docs: DataFrame, least: int = 100) -> DataFrame:
@@ -269,15 +363,17 @@ def removal_digests(docs: DataFrame, least: int = 100) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(parts):
+        codec = pa.Codec("zstd")
+
         def rows(part):
-            for doc, text, own in zip(*(part.column(i).to_pylist() for i in range(3))):
-                runs = union(own, len(text))
-                yield doc, len(text), sum(e - s for s, e in runs), len(runs), hashlib.sha256(kept_bytes(text, runs)).hexdigest()
+            for doc, size, body, own in zip(*(part.column(i).to_pylist() for i in range(4))):
+                text, runs = codec.decompress(body, size, asbytes=True), union(own, size)
+                yield doc, size, sum(e - s for s, e in runs), len(runs), hashlib.sha256(kept_bytes(text, runs)).hexdigest()
 
         for part in parts:
             yield from common.batches(rows(part), schema)
 
-    joined = bodies.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "body", "spans")
+    joined = packed(bodies).join(spans.hint("shuffle_hash"), ["doc_id", "sub"], "left").select("doc_id", "size", "packed", "spans")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -294,19 +390,21 @@ def _whole_characters(text: bytes, runs):
 
 def remove_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
     """docs with the covered bytes cut out of text, at whole characters; n_chars, where there is one, is counted anew."""
-    bodies = _bodies(docs)
-    spans = repeated_spans(bodies, least)
+    spans = repeated_spans(_bodies(docs), least)
 
     def run(parts):
+        codec = pa.Codec("zstd")
         for part in parts:
             texts = []
-            for text, own in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                texts.append(None if text is None else kept_bytes(text, list(_whole_characters(text, union(own, len(text))))).decode("utf-8", "replace"))
+            for size, body, own in zip(*(part.column(i).to_pylist() for i in range(1, 4))):
+                text = None if body is None else codec.decompress(body, size, asbytes=True)
+                texts.append(None if text is None else kept_bytes(text, list(_whole_characters(text, union(own, size)))).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["_row", "_kept"])
 
     # the whole row travels as one value, so that no column of it can clash
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("_row"), docs["text"].cast("string").cast("binary").alias("_body"), docs["doc_id"].cast("long").alias("_id"))
-    joined = rows.join(spans.select(F.col("doc_id").alias("_id"), "spans").hint("shuffle_hash"), "_id", "left").select("_row", "_body", "spans")
+    own_id = [x.alias(n) for x, n in zip((docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"))), ("doc_id", "sub"))]
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("_row"), docs["text"].cast("string").cast("binary").alias("body"), *own_id)
+    joined = packed(rows, "_row").join(spans.hint("shuffle_hash"), ["doc_id", "sub"], "left").select("_row", "size", "packed", "spans")
     kept = joined.mapInArrow(run, T.StructType([joined.schema["_row"], T.StructField("_kept", T.StringType())]))
     own = {"text": F.col("_kept")}
     if "n_chars" in docs.columns:
