@@ -161,10 +161,10 @@ def _sampled(docs: DataFrame, least: int, gram: int) -> np.ndarray:
     return np.sort(found["key"].to_numpy(np.int64))
 
 
-def surroundings(docs: DataFrame, least: int = 100, gram: int = GRAM, collapse: bool = True) -> DataFrame:
+def surroundings(docs: DataFrame, texts: DataFrame, least: int = 100, gram: int = GRAM, collapse: bool = True) -> DataFrame:
     """(key, right, left, doc_id, sub, s, e): the text around every chosen gram whose key is met twice or more.
 
-    Needs doc_id, sub, body.  With collapse, what equals the text around an earlier gram of its batch, byte for byte, is
+    Needs doc_id, sub, body; texts is docs packed.  With collapse, what equals the text around an earlier gram of its batch, byte for byte, is
     told as a covered span (right is null then), so that copies come down to one row a batch.
     """
     cut = pieces(least, gram)
@@ -239,8 +239,9 @@ def surroundings(docs: DataFrame, least: int = 100, gram: int = GRAM, collapse:
 
         def rows(part):
             seen: dict[tuple[int, bytes, int], tuple] = {}
-            for doc, sub, size, packed, wanted in sorted(zip(*(part.column(i).to_pylist() for i in range(5))), key=lambda r: r[:2]):
-                text, told = codec.decompress(packed, size, asbytes=True), []
+            columns = (part.column(n).to_pylist() for n in ("doc_id", "sub", "size", "packed", "wanted"))
+            for doc, sub, size, body, wanted in sorted((r for r in zip(*columns) if r[4]), key=lambda r: r[:2]):
+                text, told = codec.decompress(body, size, asbytes=True), []
                 for at in sorted(wanted):
                     p, left, right = at >> 20, (at >> 12) & 255, (at >> 4) & 255
                     key, around, own = _key(text, p, at & 15, cut, gram), text[p - left : p + right], (doc, sub, p)
@@ -259,8 +260,8 @@ def surroundings(docs: DataFrame, least: int = 100, gram: int = GRAM, collapse:
     dealt = dealt.withColumn("key", F.when(F.col("kind") == 2, F.xxhash64("doc_id", "at")).otherwise(F.col("key")))
     again = dealt.repartition("key").sortWithinPartitions("key", "doc_id", "sub", "at").mapInArrow(met, "doc_id long, sub long, at long")
     wanted = again.groupBy("doc_id", "sub").agg(F.collect_set("at").alias("wanted"))
-    texts = packed(docs).join(wanted.hint("shuffle_hash"), ["doc_id", "sub"]).select("doc_id", "sub", "size", "packed", "wanted")
-    return texts.mapInArrow(cut_out, "key long, right binary, left binary, doc_id long, sub long, s long, e long")
+    # a left join, as the one with spans is: an inner one would filter nulls first and shuffle the texts again
+    return texts.join(wanted.hint("shuffle_hash"), ["doc_id", "sub"], "left").mapInArrow(cut_out, "key long, right binary, left binary, doc_id long, sub long, s long, e long")
 
 
 def _buckets(parts, gram: int, judge):
@@ -283,16 +284,20 @@ def _buckets(parts, gram: int, judge):
         yield from judge(rows, lcp)
 
 
-def repeated_spans(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataFrame:
-    """(doc_id, sub, spans: array<struct<s, e>>) of bytes covered by strings of `least` bytes that start earlier."""
+def with_spans(docs: DataFrame, texts: DataFrame, least: int = 100, gram: int = GRAM) -> DataFrame:
+    """texts with spans, array<struct<s, e>>: bytes covered by strings of `least` bytes that start earlier.
+
+    docs: (doc_id, sub, body), texts: the same packed; both uses of it share one shuffle.
+    """
 
     def scan(parts):
         schema = pa.schema([("doc_id", pa.int64()), ("sub", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
         yield from common.batches(_buckets(parts, gram, lambda rows, lcp: covered(rows, lcp, least)), schema)
 
-    around = surroundings(docs, least, gram).repartition("key").sortWithinPartitions("key", "right")
+    around = surroundings(docs, texts, least, gram).repartition("key").sortWithinPartitions("key", "right")
     found = around.mapInArrow(scan, "doc_id long, sub long, s long, e long")
-    return common.durable(found.groupBy("doc_id", "sub").agg(F.collect_set(F.struct("s", "e")).alias("spans")))
+    spans = found.groupBy("doc_id", "sub").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    return texts.join(spans.hint("shuffle_hash"), ["doc_id", "sub"], "left")
 
 
 def repeat_groups(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataFrame:
@@ -305,7 +310,8 @@ def repeat_groups(docs: DataFrame, least: int = 100, gram: int = GRAM) -> DataFr
         schema = pa.schema([("length", pa.int64()), ("doc_id", pa.int64()), ("sub", pa.int64()), ("start", pa.int64()), ("grp", pa.int64())])
         yield from common.batches(_buckets(parts, gram, lambda rows, lcp: groups(rows, lcp, least)), schema)
 
-    around = surroundings(_bodies(docs), least, gram, collapse=False).repartition("key").sortWithinPartitions("key", "right")
+    bodies = _bodies(docs)
+    around = surroundings(bodies, packed(bodies), least, gram, collapse=False).repartition("key").sortWithinPartitions("key", "right")
     found = around.mapInArrow(scan, "length long, doc_id long, sub long, start long, grp long")
     return found.select("grp", "doc_id", "start", "length").distinct()
 
@@ -359,22 +365,20 @@ def packed(docs: DataFrame, rest: str | None = None) -> DataFrame:
 def removal_digests(docs: DataFrame, least: int = 100) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each document."""
     bodies = _bodies(docs)
-    spans = repeated_spans(bodies, least)
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(parts):
         codec = pa.Codec("zstd")
 
         def rows(part):
-            for doc, size, body, own in zip(*(part.column(i).to_pylist() for i in range(4))):
+            for doc, size, body, own in zip(*(part.column(n).to_pylist() for n in ("doc_id", "size", "packed", "spans"))):
                 text, runs = codec.decompress(body, size, asbytes=True), union(own, size)
                 yield doc, size, sum(e - s for s, e in runs), len(runs), hashlib.sha256(kept_bytes(text, runs)).hexdigest()
 
         for part in parts:
             yield from common.batches(rows(part), schema)
 
-    joined = packed(bodies).join(spans.hint("shuffle_hash"), ["doc_id", "sub"], "left").select("doc_id", "size", "packed", "spans")
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_spans(bodies, packed(bodies), least).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _whole_characters(text: bytes, runs):
@@ -390,21 +394,20 @@ def _whole_characters(text: bytes, runs):
 
 def remove_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
     """docs with the covered bytes cut out of text, at whole characters; n_chars, where there is one, is counted anew."""
-    spans = repeated_spans(_bodies(docs), least)
 
     def run(parts):
         codec = pa.Codec("zstd")
         for part in parts:
             texts = []
-            for size, body, own in zip(*(part.column(i).to_pylist() for i in range(1, 4))):
+            for size, body, own in zip(*(part.column(n).to_pylist() for n in ("size", "packed", "spans"))):
                 text = None if body is None else codec.decompress(body, size, asbytes=True)
                 texts.append(None if text is None else kept_bytes(text, list(_whole_characters(text, union(own, size)))).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["_row", "_kept"])
+            yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(texts, pa.string())], names=["_row", "_kept"])
 
     # the whole row travels as one value, so that no column of it can clash
     own_id = [x.alias(n) for x, n in zip((docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"))), ("doc_id", "sub"))]
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("_row"), docs["text"].cast("string").cast("binary").alias("body"), *own_id)
-    joined = packed(rows, "_row").join(spans.hint("shuffle_hash"), ["doc_id", "sub"], "left").select("_row", "size", "packed", "spans")
+    joined = with_spans(_bodies(docs), packed(rows, "_row"), least)
     kept = joined.mapInArrow(run, T.StructType([joined.schema["_row"], T.StructField("_kept", T.StringType())]))
     own = {"text": F.col("_kept")}
     if "n_chars" in docs.columns:
