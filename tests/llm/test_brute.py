@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, common, neighbours, packing, quality, simhash, suffix
 
@@ -96,6 +97,96 @@ def test_base_statistics(docs, texts):
         assert r.base_failed == (len(w) < 50 or 100 * len(covered) > 50 * len(w)) and not (r.base_failed and r.kept)
 
 
+def _mcd(groups):
+    """The estimates of all groups {name: (wide, integer features)} by plain loops over rows."""
+    k, floor = len(quality.FEATURES), np.diag(np.array(quality.LEAST_SPREAD) ** 2)
+    values = {g: x / quality.UNIT for g, (_, x) in groups.items()}
+
+    def drawn(a, b):
+        n, m, c = a
+        mean = (n * m + quality.PRIOR * b[1]) / (n + quality.PRIOR)
+        spread = n * (c + np.outer(m - mean, m - mean)) + quality.PRIOR * (b[2] + np.outer(b[1] - mean, b[1] - mean))
+        return n, mean, spread / (n + quality.PRIOR)
+
+    def moments(x):
+        return len(x), x.mean(0), np.cov(x.T, bias=True)
+
+    def pooled(kept, narrowed):
+        over_all = moments(np.concatenate(list(kept.values())))
+        out = {}
+        for g, x in kept.items():
+            wide = drawn(moments(np.concatenate([y for h, y in kept.items() if groups[h][0] == groups[g][0]])), over_all)
+            _, m, c = drawn(moments(x), wide)
+            out[g] = (m, c / narrowed + floor)
+        return out
+
+    def far(x, m, c):
+        return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+
+    def step(found):
+        kept = {}
+        for g, x in values.items():
+            bins = np.floor(np.log2(far(x, *found[g]) + 1e-6) * 16)
+            kept[g] = x[[(bins < b).sum() < quality.SUPPORT * len(x) for b in bins]]
+        return pooled(kept, quality.NARROWED)
+
+    def middle(v):
+        return np.sort(v)[(len(v) - 1) // 2]
+
+    starts = [pooled(values, 1.0), {}, {}]
+    for g, x in values.items():
+        coarse = (np.floor(x * 16) + 0.5) / 16
+        centre = np.array([middle(coarse[:, i]) for i in range(k)])
+        spread = np.array([1.4826 * middle(np.abs(coarse[:, i] - centre[i])) for i in range(k)])
+        starts[1][g], starts[2][g] = (centre, np.diag(spread**2) + floor), (centre, floor)
+    for _ in range(quality.FIRST_STEPS):
+        starts = [step(s) for s in starts]
+    found = {g: min((s[g] for s in starts), key=lambda e: np.linalg.slogdet(e[1])[1]) for g in groups}
+    for _ in range(quality.STEPS):
+        found = step(found)
+    return {g: far(values[g], *found[g]) for g in groups}
+
+
+def test_estimates_are_the_least_determinants(spark):
+    rng = np.random.default_rng(12)
+    k, groups, clean = len(quality.FEATURES), {}, {}
+    for g, (wide, n, share) in {"a": ("x", 400, 0.2), "b": ("x", 500, 0.35), "c": ("y", 300, 0.0), "d": ("y", 15, 0.2)}.items():
+        x = np.arange(k) + rng.standard_normal((n, k)) @ (0.3 * rng.standard_normal((k, k)))
+        out = rng.random(n) < share
+        x[out] += 9 * rng.choice([-1, 1], k)
+        groups[g], clean[g] = (wide, np.round(x * quality.UNIT).astype(int)), ~out
+    rows = [(g, wide, i, *map(int, r)) for g, (wide, x) in groups.items() for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "grp string, wide string, i int, " + ", ".join(f"{f} long" for f in quality.FEATURES)).repartition(5)
+    found = quality.estimate(df)
+    far = df.join(found, "grp").select("grp", "i", quality._distance(F.col("mean"), F.col("root")).alias("d")).collect()
+    want = _mcd(groups)
+    for r in far:
+        assert abs(r.d - want[r.grp][r.i]) <= 1e-6 * max(1, r.d)
+    out = np.array([r.d > quality.CUTOFF**2 for r in far])
+    of = np.array([clean[r.grp][r.i] for r in far])
+    assert out[~of].all() and not out[of].any()
+
+
+def test_narrowed_is_what_a_normal_share_has():
+    x = np.random.default_rng(13).standard_normal((200_000, len(quality.FEATURES)))
+    d = (x**2).sum(1)
+    assert abs(x[d <= np.quantile(d, quality.SUPPORT)].var() - quality.NARROWED) < 0.01
+
+
+def test_verdicts_come_from_the_estimates(docs):
+    """Distances of judge() by plain algebra, and the cutoff on them."""
+    rows = quality.judge(docs, 1.5).collect()
+    sound = [r for r in rows if not r.base_failed]
+    groups = {}
+    for r in sound:
+        groups.setdefault((r.lang, r.source), []).append(r)
+    want = _mcd({g: (g[0], np.array([[r[f] for f in quality.FEATURES] for r in own])) for g, own in groups.items()})
+    for g, own in groups.items():
+        for r, d in zip(own, want[g]):
+            assert abs(r.distance - d) < 1e-6 and r.kept == (d <= 1.5**2)
+    assert {r.kept for r in sound} == {True, False}
+
+
 def test_repeats_by_numbers_as_by_tuples(monkeypatch):
     rng = np.random.default_rng(5)
     words = [b"%d" % x for x in rng.integers(0, 12, 3000)]

@@ -1,13 +1,15 @@
 """Quality rules: text statistics, then robust multivariate outliers per language and source.
 
 Statistic vectors are transformed to tame their tails.  For each (lang, source) a minimum-covariance-determinant
-estimate is made by concentration steps over all rows: distances, the half of smallest distances, their mean and
-covariance, again.  A step is two grouped sums; the half is found from a histogram of distances, so no group is ever
-held in one task.  Sums are over integers, so the result doesn't depend on the order of rows.
-
-Defined results: a null or empty text has no words and fails the base rules; null lang or source are groups of their
-own; groups of few rows use their language's estimate, or that of all rows; equal rows get equal verdicts; an empty
-table gives no rows; extra columns are ignored.
+estimate is made over all its rows: from several starts, concentration steps (distances, the share of smallest ones, their
+mean and covariance) go down to smaller determinants; the start with the least one goes on.  A step is one grouped sum
+over bins of distance, so no group is ever held in one task.  Sums are over integers, so the result doesn't depend on
+the order of rows.  A group's estimate is drawn towards its language's, and that one towards all rows', with the weight
+of PRIOR rows: the same rule for groups of every size.
+
+Defined results: a null or empty text has no words and fails the base rules; very long texts are measured whole; null
+lang or source are groups of their own; equal rows and ties get equal verdicts; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common
 
@@ -23,14 +26,16 @@ _SPACES = [9, 10, 11, 12, 13, 32]
 _SYMBOLS = list(b"#*$%&|<>")
 _MARKS = [b for b in range(33, 127) if not chr(b).isalnum() and b not in b".,'\"-()"]
 _UPPER = list(range(65, 91))
-#: Transformed statistics: log words, word length, and square roots of shares.
+#: Transformed statistics: logs of words and word length, and square roots of shares.
 FEATURES = ("log_words", "word_length", "symbol_share", "dup_lines", "repeat_share", "mark_share", "upper_share")
-#: Features are held as multiples of 1 / UNIT, within +-LIMIT.
-UNIT, LIMIT = 1024, 32
+#: Features are held as multiples of 1 / UNIT.
+UNIT = 1024
 #: Spread that each feature has at least, as a standard deviation: below it, differences say nothing about quality.
-LEAST_SPREAD = (0.9, 0.5, 0.06, 0.25, 0.12, 0.08, 0.08)
-#: Share of rows that an estimate rests on, steps, rows a group needs, and the distance beyond which a row is out.
-SUPPORT, STEPS, LEAST_ROWS, CUTOFF = 0.6, 5, 200, 6.0
+LEAST_SPREAD = (0.9, 0.08, 0.06, 0.25, 0.12, 0.08, 0.08)
+#: Share of rows that an estimate rests on, steps of all starts and of the best one, rows that a wider group's estimate
+#: weighs, the covariance of that share of a normal distribution against the whole one's, and the distance beyond which a row is out.
+SUPPORT, FIRST_STEPS, STEPS, PRIOR, NARROWED, CUTOFF = 0.6, 2, 4, 100, 0.65, 6.0
+#: Above it repeated words are found by numbers; the result is the same.
 _WIDE = 50_000
 
 
@@ -71,8 +76,8 @@ def measure(text: bytes | None) -> tuple:
     failed = n < 50 or 100 * repeats > 50 * n
     marks, upper = int(of[_MARKS].sum()), int(of[_UPPER].sum())
     per = max(chars, 1)
-    x = (np.log1p(n), chars / max(n, 1), (symbols / per) ** 0.5, np.log1p(dup_lines), (repeats / max(n, 1)) ** 0.5, (marks / per) ** 0.5, (upper / per) ** 0.5)
-    return (n, chars, symbols, dup_lines, repeats, failed, *(round(min(v, LIMIT) * UNIT) for v in x))
+    x = (np.log1p(n), np.log1p(chars / max(n, 1)), (symbols / per) ** 0.5, np.log1p(dup_lines), (repeats / max(n, 1)) ** 0.5, (marks / per) ** 0.5, (upper / per) ** 0.5)
+    return (n, chars, symbols, dup_lines, repeats, failed, *(round(v * UNIT) for v in x))
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -91,87 +96,135 @@ def statistics(docs: DataFrame) -> DataFrame:
     return docs.select(common.row_key(docs), F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("binary")).mapInArrow(run, ddl)
 
 
-def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Integer sums of features and their products per group, summed before the shuffle."""
-    k = len(FEATURES)
+_K = len(FEATURES)
+_SUMS = ["n", *(f"s{i}" for i in range(_K)), *(f"p{i}_{j}" for i in range(_K) for j in range(i + 1))]
+
+
+def _moments() -> list:
+    """Integer sums of features and their products, summed before the shuffle."""
     sums = [F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)]
-    products = [F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"p{i}_{j}") for i in range(k) for j in range(i + 1)]
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"), *sums, *products)
+    products = [F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"p{i}_{j}") for i in range(_K) for j in range(i + 1)]
+    return [F.count("*").alias("n"), *sums, *products]
+
+
+def _unpacked(row: dict, prefix: str) -> tuple[float, np.ndarray, np.ndarray]:
+    """Rows, mean and covariance from sums."""
+    n = row[f"{prefix}n"]
+    m = np.array([row[f"{prefix}s{i}"] for i in range(_K)], float) / n / UNIT
+    c = np.empty((_K, _K))
+    for i in range(_K):
+        for j in range(i + 1):
+            c[i, j] = c[j, i] = row[f"{prefix}p{i}_{j}"] / n / UNIT**2
+    return n, m, c - np.outer(m, m)
+
+
+def _drawn(own: tuple, wide: tuple) -> tuple[float, np.ndarray, np.ndarray]:
+    """An estimate drawn towards a wider one's, which weighs PRIOR rows."""
+    n, m, c = own
+    _, wm, wc = wide
+    mean = (n * m + PRIOR * wm) / (n + PRIOR)
+    a, b = m - mean, wm - mean
+    return n, mean, (n * (c + np.outer(a, a)) + PRIOR * (wc + np.outer(b, b))) / (n + PRIOR)
+
 
+def shape(mean: np.ndarray, cov: np.ndarray) -> tuple[list, list, float]:
+    """Mean, upper Cholesky factor of the inverse covariance with the least spread added, log determinant."""
+    c = cov + np.diag(np.array(LEAST_SPREAD) ** 2)
+    return mean.tolist(), np.linalg.cholesky(np.linalg.inv(c)).T.ravel().tolist(), float(np.linalg.slogdet(c)[1])
 
-def _estimates(moments: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean and inverse covariance (upper Cholesky factor) per group, from its moments; a row per group."""
-    k = len(FEATURES)
-    least = np.array(LEAST_SPREAD) ** 2
-    ddl = ", ".join(f"{c} string" for c in keys) + ", mean array<double>, root array<double>"
+
+_ESTIMATE = "grp string, start int, mean array<double>, root array<double>, det double"
+
+
+def _estimates(sums: DataFrame, narrowed: float) -> DataFrame:
+    """(grp, start, mean, root, det) from each group's sums (grp, wide, start, _SUMS)."""
+    per_lang = sums.groupBy("wide", "start").agg(*(F.sum(c).alias(f"l{c}") for c in _SUMS))
+    over_all = sums.groupBy("start").agg(*(F.sum(c).alias(f"a{c}") for c in _SUMS))
 
     def run(frames):
+        import pandas as pd
+
         for frame in frames:
-            mean, root = [], []
+            out = []
             for row in frame.to_dict("records"):
-                n = row["n"]
-                m = np.array([row[f"s{i}"] for i in range(k)], float) / n
-                c = np.empty((k, k))
-                for i in range(k):
-                    for j in range(i + 1):
-                        c[i, j] = c[j, i] = row[f"p{i}_{j}"] / n - m[i] * m[j]
-                c = c / UNIT**2
-                c[np.diag_indices(k)] = np.maximum(np.diag(c), 0) * 1.2 + least
-                mean.append((m / UNIT).tolist())
-                root.append(np.linalg.cholesky(np.linalg.inv(c)).T.ravel().tolist())
-            yield frame[keys].assign(mean=mean, root=root)
-
-    return moments.mapInPandas(run, ddl)
-
-
-def _distances(rows: DataFrame, estimates: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """rows with the squared Mahalanobis distance under their group's estimate."""
-    k = len(FEATURES)
-    held = estimates.select(*(F.col(c).alias(f"_{c}") for c in keys), "mean", "root")
-    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    joined = rows.join(held, on, "left")
-    at = [F.col(f) / UNIT - F.col("mean")[i] for i, f in enumerate(FEATURES)]
+                wide = _drawn(_unpacked(row, "l"), _unpacked(row, "a"))
+                _, mean, cov = _drawn(_unpacked(row, ""), wide)
+                out.append((row["grp"], row["start"], *shape(mean, cov / narrowed)))
+            yield pd.DataFrame(out, columns=["grp", "start", "mean", "root", "det"])
+
+    return sums.join(per_lang, ["wide", "start"]).join(over_all, "start").mapInPandas(run, _ESTIMATE)
+
+
+def _distance(mean, root) -> F.Column:
+    """Squared Mahalanobis distance of a row."""
+    at = [F.col(f) / UNIT - mean[i] for i, f in enumerate(FEATURES)]
     total = F.lit(0.0)
-    for i in range(k):
+    for i in range(_K):
         part = F.lit(0.0)
-        for j in range(i, k):
-            part = part + F.col("root")[i * k + j] * at[j]
+        for j in range(i, _K):
+            part = part + root[i * _K + j] * at[j]
         total = total + part * part
-    return joined.withColumn(name, total).drop("mean", "root", *(f"_{c}" for c in keys))
-
-
-def estimate(rows: DataFrame, keys: list[str], support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """Minimum-covariance-determinant mean and inverse covariance of each group of keys, by concentration steps."""
-    found = common.durable(_estimates(_moments(rows, keys), keys))
-    for _ in range(steps):
-        near = _distances(rows, found, keys, "_d").withColumn("_bin", F.floor(F.log2(F.col("_d") + 1e-6) * 16).cast("int"))
-        bins = near.groupBy(*keys, "_bin").agg(F.count("*").alias("_n"))
-        upto = bins.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_bin", "_n"))).alias("_h"), F.sum("_n").alias("_all"))  # some hundred bins
-        cut = F.aggregate("_h", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("bin")), lambda a, x: F.struct((a.seen + x["_n"]).alias("seen"), F.when(a.seen < F.col("_all") * support, x["_bin"]).otherwise(a.bin).alias("bin")), lambda a: a.bin)
-        upto = upto.select(*(F.col(c).alias(f"_k{c}") for c in keys), cut.alias("_cut"))
-        on = [F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in keys]
-        half = near.join(upto, on)
-        found = common.durable(_estimates(_moments(half.where("_bin <= _cut"), keys), keys))
+    return total
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three estimates of each group: of all its rows; by medians and their deviations; around medians with the least spread.
+
+    Medians are read off histograms of 1/16 units.
+    """
+    whole = _estimates(rows.groupBy("grp", "wide").agg(*_moments()).withColumn("start", F.lit(0)), 1.0)
+    values = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.floor(F.col(f) / (UNIT // 16)).cast("int").alias("bin")) for i, f in enumerate(FEATURES)))).alias("x")
+    bins = rows.select("grp", values).groupBy("grp", "x.i", "x.bin").agg(F.count("*").alias("n"))
+    held = bins.groupBy("grp", "i").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("h"))  # some hundred bins
+
+    def middle(bins: np.ndarray, n: np.ndarray) -> float:
+        order = np.argsort(bins, kind="stable")
+        return float(bins[order][np.searchsorted(np.cumsum(n[order]) * 2, n.sum())])
+
+    def run(_, frame):
+        import pandas as pd
+
+        centre, spread = np.zeros(_K), np.zeros(_K)
+        for i, h in zip(frame["i"], frame["h"]):
+            at, n = np.array([(x["bin"] + 0.5) / 16 for x in h]), np.array([x["n"] for x in h])
+            centre[i] = middle(at, n)
+            spread[i] = 1.4826 * middle(np.abs(at - centre[i]), n)
+        grp = frame["grp"].iloc[0]
+        return pd.DataFrame([(grp, k, *shape(centre, np.diag(spread**2 * (k == 1)))) for k in (1, 2)], columns=["grp", "start", "mean", "root", "det"])
+
+    return whole.unionByName(held.groupBy("grp").applyInPandas(run, _ESTIMATE))
+
+
+def _step(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """A concentration step for every start of every group."""
+    tried = found.groupBy("grp").agg(F.collect_list(F.struct("start", "mean", "root")).alias("tried"))  # a few
+    each = rows.join(tried, "grp").select("grp", "wide", *FEATURES, F.explode("tried").alias("t"))
+    each = each.select("grp", "wide", *FEATURES, F.col("t.start").alias("start"), F.floor(F.log2(_distance(F.col("t.mean"), F.col("t.root")) + 1e-6) * 16).cast("int").alias("bin"))
+    bins = each.groupBy("grp", "wide", "start", "bin").agg(*_moments())
+    group = Window.partitionBy("grp", "wide", "start")  # a row a bin
+    before = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    near = bins.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn("_all", F.sum("n").over(group)).where(F.col("_before") < F.col("_all") * SUPPORT)
+    return _estimates(near.groupBy("grp", "wide", "start").agg(*(F.sum(c).alias(c) for c in _SUMS)), NARROWED)
+
+
+def estimate(rows: DataFrame) -> DataFrame:
+    """(grp, start, mean, root, det) of each group of rows (grp, wide, features) by its least determinant."""
+    found = common.durable(_starts(rows))
+    for _ in range(FIRST_STEPS):
+        found = common.durable(_step(rows, found))
+    best = found.groupBy("grp").agg(F.min_by(F.struct("mean", "root", "det"), F.struct("det", "start")).alias("x"))
+    found = common.durable(best.select("grp", F.lit(0).alias("start"), "x.*"))  # from here on all groups are pooled together
+    for _ in range(STEPS):
+        found = common.durable(_step(rows, found))
     return found
 
 
-def judge(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS) -> DataFrame:
+def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Statistics with base_failed, distance (squared) and kept; rows that fail the base rules take no part in estimates."""
-    rows = common.durable(statistics(docs))
-    sound = rows.where("not base_failed")
-    own = sound.groupBy("lang", "source").agg(F.count("*").alias("_n"))
-    per_lang = own.groupBy("lang").agg(F.sum("_n").alias("_m"))
-    own = own.alias("o").join(per_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
-    group = F.when(F.col("_n") >= least_rows, F.concat_ws("|", F.lit("s"), F.coalesce("o.lang", F.lit("\\N")), F.coalesce("source", F.lit("\\N")))).when(F.col("_m") >= least_rows, F.concat_ws("|", F.lit("l"), F.coalesce("o.lang", F.lit("\\N")))).otherwise("all")
-    named = common.durable(own.select(F.col("o.lang").alias("_lang"), F.col("source").alias("_source"), group.alias("grp")))
-    rows = rows.join(named, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
-    rows = common.durable(rows.withColumn("grp", F.coalesce("grp", F.lit("all"))))
-    sound = rows.where("not base_failed")
-    # a pooled estimate rests on all rows of its language, or on all rows
-    levels = sound.select("*").unionByName(sound.where("grp like 's|%'").withColumn("grp", F.concat_ws("|", F.lit("l"), F.coalesce("lang", F.lit("\\N"))))).unionByName(sound.where("grp <> 'all'").withColumn("grp", F.lit("all")))
-    wanted = named.select("grp").distinct()
-    found = estimate(levels.join(wanted, "grp", "left_semi"), ["grp"])
-    far = _distances(rows, found, ["grp"], "distance")
+    rows = statistics(docs)
+    rows = common.durable(rows.select("*", F.to_json(F.struct("lang", "source")).alias("grp"), F.to_json(F.struct("lang")).alias("wide")))
+    found = estimate(rows.where("not base_failed").select("grp", "wide", *FEATURES))
+    far = rows.join(found.select("grp", "mean", "root"), "grp", "left").withColumn("distance", _distance(F.col("mean"), F.col("root"))).drop("mean", "root")
     return far.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff**2))
 
 
