@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, common, neighbours, packing, quality, simhash, suffix
+from tidemark.llm import bpe, common, langid, neighbours, packing, quality, simhash, suffix
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -211,6 +211,51 @@ def test_suffix_array(docs, texts, least):
     assert got == want
 
 
+def test_languages_by_plain_counts(spark):
+    """Every language, word and n-gram counts, those met once too; scores by dictionaries of counts."""
+    rng = np.random.default_rng(14)
+    letters = ["abcdefgh", "efghijkl", "ijklmnopé", "mnopqrst"]
+    rows = []
+    for i in range(240):
+        own = letters[i % 4]
+        words = ["".join(rng.choice(list(own), rng.integers(1, 9))) for _ in range(rng.integers(1, 30))]
+        rows.append((i, " ".join(words).title() + ", 12!", f"l{i % 4}" if i % 7 else None))
+    learned = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2 and lang]
+    langs = sorted({lang for _, lang in learned})
+    tables = [{} for _ in range(6)]
+    for t, lang in learned:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            for n in range(6):
+                for g in [w] if n == 0 else langid.grams(w, n):
+                    tables[n].setdefault(g, Counter())[lang] += 1
+    totals = [{x: sum(c[x] for c in t.values()) + 0.5 * len(t) for x in langs} for t in tables]
+
+    def logs(n, g):
+        return np.array([np.log((tables[n][g][x] + 0.5) / totals[n][x]) for x in langs])
+
+    def score(w):
+        if w in tables[0]:
+            return logs(0, w)
+        for n in range(5, 0, -1):
+            if known := [logs(n, g) for g in langid.grams(w, n) if g in tables[n]]:
+                return np.mean(known, axis=0)
+        return np.zeros(len(langs))
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    for r in langid.predict(docs, langid.fit(docs)).collect():
+        words = re.findall(r"[^\W\d_]+", rows[r.doc_id][1].lower())
+        total = sum(score(w) for w in words)
+        best = int(total.argmax())
+        assert r.lang_pred == langs[best] and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert abs(r.score - 1 / np.exp((total - total[best]) / len(words) ** 0.5).sum()) < 1e-4
+
+
+def test_the_sample_is_bounded_in_bytes_not_in_languages(spark):
+    docs = spark.createDataFrame([(i, f"word{chr(97 + i % 26)} " * 50, f"l{i % 400}") for i in range(4000)], "doc_id long, text string, lang string")
+    model = langid.fit(docs, all_bytes=400 * 1000)
+    assert len(model.languages) == 400 and len(model.tables[0].keys) <= 26
+
+
 def test_prefix_intervals():
     words = sorted(["banana", "anana", "nana", "ana", "na", "a", "band", "bandana"])
     lcp = [suffix._shared(a.encode(), b.encode()) for a, b in zip(words, words[1:])]

@@ -33,12 +33,6 @@ def row_key(docs: DataFrame) -> Column:
     return F.xxhash64(*(F.coalesce(docs[c].cast("string"), F.lit("\\N")) for c in ("doc_id", "text", "lang", "source"))).alias("row_key")
 
 
-def only(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """docs, with all their columns, that stand in rows (row_key)."""
-    key = "_tidemark_key"
-    return docs.withColumn(key, row_key(docs)).join(rows.select(F.col("row_key").alias(key)).distinct(), key, "left_semi").drop(key)
-
-
 def batches(rows, schema: pa.Schema, size: int = 8192):
     """Turn an iterator of tuples into Arrow batches of bounded size."""
     kept = []

@@ -1,13 +1,14 @@
 """Language identification: word frequencies first, character n-grams for unseen words.
 
 A known word scores its smoothed log frequency in each language; a word that no language knows scores the mean of its
-longest n-grams of which any is known.  The model is fitted on a bounded sample of labelled documents (per_language for
-each language, by a hash of their ids, so the same ones at every run) and holds at most `words` words and
-`grams` n-grams per length and language; everything is predicted from whole texts.
-
-Defined results: a text that is null or has no letter, or a model without languages, gives `und` and score 0; equal
-texts get equal predictions; ties go to the language that sorts first; rows without doc_id aren't learned from; an
-empty table gives no rows; other columns of the input are ignored.
+longest n-grams of which any is known.  The model is fitted on a sample of labelled documents, bounded in bytes for each
+language and in all, and chosen by a hash of their ids, so the same ones at every run.  Every language, word and n-gram
+of the sample is in the model, which holds counts by hash, sparse over languages; its size is bounded by the sample's.
+Everything is predicted from whole texts.
+
+Defined results: a text that is null or has no letter, or a model without languages, gives `und` and score 0; very long
+texts count whole; equal texts get equal predictions; ties go to the language that sorts first; rows without doc_id and
+rows beyond LONGEST_TEXT aren't learned from; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -17,18 +18,19 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import common
 
 #: Letters in a row.
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
-#: Documents a language is learned from, languages, words a language, n-grams a length and language.
-PER_LANGUAGE, LANGUAGES, WORDS, GRAMS = 3_000, 256, 40_000, 8_000
-_REMEMBERED = 250_000
+#: Bytes of text that a language is learned from, and all of them; a longer text than this isn't learned from.
+LANGUAGE_BYTES, ALL_BYTES, LONGEST_TEXT = 8 << 20, 128 << 20, 80_000
+#: Scores that a worker remembers of words; the rest is scored again.
+_REMEMBERED = 1 << 22
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -36,39 +38,59 @@ def grams(word: str, n: int) -> list[str]:
     return [word[i : i + n] for i in range(len(word) - n + 1)]
 
 
+class Table:
+    """Smoothed log frequencies by language of strings, which are known by a hash; sparse rows over a common base."""
+
+    def __init__(self, keys: np.ndarray, langs: np.ndarray, times: np.ndarray, n_languages: int):
+        order = np.lexsort((langs, keys))
+        keys, langs, times = keys[order], langs[order], times[order]
+        self.keys, first = np.unique(keys, return_index=True)
+        self.start = np.r_[first, len(keys)]
+        total = np.bincount(langs, times, n_languages) + 0.5 * max(len(self.keys), 1)
+        self.base = np.log(0.5 / total).astype(np.float32)
+        self.langs = langs.astype(np.int32)
+        self.more = (np.log((times + 0.5) / total[langs]) - self.base[langs]).astype(np.float32)
+
+    def find(self, key: int) -> int | None:
+        at = int(np.searchsorted(self.keys, np.int64(key)))
+        return at if at < len(self.keys) and self.keys[at] == key else None
+
+    def row(self, at: int) -> np.ndarray:
+        out = self.base.copy()
+        own = slice(self.start[at], self.start[at + 1])
+        out[self.langs[own]] += self.more[own]
+        return out
+
+
+def name(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 class Model:
-    """words and parts[n]: rows of a table of log frequencies by language."""
+    """tables[0] of words, tables[n] of n-grams."""
 
-    def __init__(self, languages: list[str], words: dict[str, list[int]], parts: dict[int, dict[str, list[int]]]):
-        self.languages = languages
-        self.words = self._logs(words)
-        self.parts = {n: self._logs(x) for n, x in parts.items()}
+    def __init__(self, languages: list[str], tables: list[Table]):
+        self.languages, self.tables = languages, tables
         self.forget()
 
     def __getstate__(self):
-        return self.languages, self.words, self.parts
+        return self.languages, self.tables
 
     def __setstate__(self, state):
-        self.languages, self.words, self.parts = state
+        self.languages, self.tables = state
         self.forget()
 
     def forget(self) -> None:
         self.seen: dict[str, int] = {}
         self.rows = np.empty((0, len(self.languages)), np.float32)
 
-    def _logs(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
-        table = np.array(list(counts.values()), float).reshape(len(counts), len(self.languages))
-        table = np.log((table + 0.5) / (table.sum(0) + 0.5 * max(len(table), 1)))
-        return {w: i for i, w in enumerate(counts)}, table.astype(np.float32)
-
     def score(self, word: str) -> np.ndarray:
-        places, table = self.words
-        if (at := places.get(word)) is not None:
-            return table[at]
+        if (at := self.tables[0].find(name(word))) is not None:
+            return self.tables[0].row(at)
         for n in range(LONGEST, 0, -1):
-            places, table = self.parts[n]
-            if found := [places[g] for g in grams(word, n) if g in places]:
-                return table[found].mean(0)
+            table = self.tables[n]
+            if found := [at for g in grams(word, n) if (at := table.find(name(g))) is not None]:
+                return np.mean([table.row(at) for at in found], axis=0)
         return np.zeros(len(self.languages), np.float32)
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -77,13 +99,13 @@ class Model:
         counts = Counter(w for w in WORD.findall(text.lower()))
         if not any(map(str.isalpha, counts)) and not any(map(str.isalpha, text)):
             return "und", 0.0
-        if len(self.seen) > _REMEMBERED:
+        if len(self.seen) * len(self.languages) > _REMEMBERED:
             self.forget()
         seen = self.seen
         if new := [w for w in counts if w not in seen]:
             at = len(seen)
             if at + len(new) > len(self.rows):
-                more = np.empty((max(2 * len(self.rows), at + len(new), 1 << 14), len(self.languages)), np.float32)
+                more = np.empty((max(2 * len(self.rows), at + len(new), 1 << 10), len(self.languages)), np.float32)
                 more[:at] = self.rows[:at]
                 self.rows = more
             for i, w in enumerate(new, at):
@@ -103,70 +125,72 @@ def learnable(doc_id: str = "doc_id") -> F.Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) != 2
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """The model of documents with text and lang; languages beyond LANGUAGES, by number of documents, aren't learned."""
+def fit(docs: DataFrame, language_bytes: int = LANGUAGE_BYTES, all_bytes: int = ALL_BYTES) -> Model:
+    """The model of a bounded sample of the documents that have text and lang."""
     rows = docs.where(learnable() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = rows.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("langid")), F.lit(1 << 30)).alias("_at"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    share = {r["lang"]: min(1.0, per_language / r["count"]) for r in sizes}
-    languages = sorted(share)
+    rows = rows.where(F.octet_length("text") <= LONGEST_TEXT)
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long") + 1).alias("size")).collect()  # a row a language
+    languages = sorted(r["lang"] for r in sizes)
+    most = min(language_bytes, all_bytes // max(len(languages), 1))
     if not languages:
-        return Model([], {}, {n: {} for n in range(1, LONGEST + 1)})
-    limits = docs.sparkSession.createDataFrame([(x, int(share[x] * (1 << 30))) for x in languages], "lang string, _most long").coalesce(1)
-    sample = rows.join(F.broadcast(limits), "lang").where("_at < _most").select("lang", "text")
-    schema = pa.schema([("n", pa.int8()), ("gram", pa.string()), ("lang", pa.string()), ("times", pa.int64())])
+        return Model([], [])
+    shares = [(r["lang"], languages.index(r["lang"]), int(min(1.0, most / r["size"]) * (1 << 30))) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(shares, "lang string, _lang int, _most long").coalesce(1)
+    sample = rows.join(F.broadcast(limits), "lang").where("_at < _most").select("_lang", "text")
+    schema = pa.schema([("n", pa.int8()), ("lang", pa.int32()), ("gram", pa.int64()), ("times", pa.int64())])
 
     def count(parts):
-        kept: dict[str, Counter] = {}
+        kept: dict[int, Counter] = {}
         for part in parts:
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 kept.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
 
         def rows():
             for lang, words in kept.items():
-                yield from ((0, w, lang, n) for w, n in words.items())
+                yield from ((0, lang, name(w), n) for w, n in words.items())
                 for length in range(1, LONGEST + 1):
                     part = Counter()
                     for w, n in words.items():
                         for g in grams(w, length):
                             part[g] += n
-                    yield from ((length, g, lang, n) for g, n in part.items())
+                    yield from ((length, lang, name(g), n) for g, n in part.items())
 
-        yield from common.batches(rows(), schema)
+        yield from common.batches(rows(), schema, 1 << 16)
 
     # the sample is bounded, and so is what comes to the driver
-    counted = sample.mapInArrow(count, "n byte, gram string, lang string, times long").groupBy("n", "gram", "lang").agg(F.sum("times").alias("times"))
-    place = F.row_number().over(Window.partitionBy("n", "lang").orderBy(F.desc("times"), "gram"))
-    best = counted.where("n > 0 or times > 1").withColumn("_r", place).where(F.col("_r") <= F.when(F.col("n") == 0, WORDS).otherwise(GRAMS)).drop("_r")
-    index = {x: i for i, x in enumerate(languages)}
-    tables: dict[int, dict[str, list[int]]] = {n: {} for n in range(LONGEST + 1)}
-    for r in best.orderBy("n", "gram").toPandas().itertuples(index=False):
-        tables[r.n].setdefault(r.gram, [0] * len(languages))[index[r.lang]] = r.times
-    return Model(languages, tables.pop(0), tables)
+    counted = sample.mapInArrow(count, "n byte, lang int, gram long, times long").groupBy("n", "lang", "gram").agg(F.sum("times").alias("times"))
+    found = counted.toArrow()
+    n, lang, gram, times = (found.column(c).to_numpy() for c in ("n", "lang", "gram", "times"))
+    return Model(languages, [Table(gram[n == k], lang[n == k], times[n == k], len(languages)) for k in range(LONGEST + 1)])
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, row_key) of every row; the model, of bounded size, goes to every executor."""
+def predicted(docs: DataFrame, model: Model, text: F.Column) -> F.Column:
+    """(lang_pred, score) of a text as one struct; the model, of bounded size, goes to every executor."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("row_key", pa.int64())])
 
-    def run(parts):
-        own = sent.value
-        for part in parts:
-            made = [own.predict(t) for t in part.column(2).to_pylist()]
-            langs, scores = zip(*made) if made else ((), ())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), part.column(3)], schema=schema)
+    def run(texts: pa.Array) -> pa.Array:
+        made = [sent.value.predict(t) for t in texts.to_pylist()]
+        langs, scores = zip(*made) if made else ((), ())
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
+    return F.arrow_udf(run, "lang_pred string, score double").asNondeterministic()(text.cast("string"))
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every row."""
     held_out = F.coalesce(~learnable(), F.lit(False)).alias("held_out")
-    return docs.select(F.col("doc_id").cast("long"), held_out, F.col("text").cast("string"), common.row_key(docs)).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, row_key long")
+    made = docs.select(F.col("doc_id").cast("long"), held_out, predicted(docs, model, docs["text"]).alias("p"))
+    return made.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
 def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose language is told with at least that score."""
-    known = predict(docs, fit(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
-    return common.only(docs, known)
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    made = docs.select(row, predicted(docs, fit(docs), docs["text"]).alias("p"))
+    return made.where((F.col("p.lang_pred") != "und") & (F.col("p.score") >= least)).select("row.*")
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    return predict(docs, fit(docs)).drop("row_key")
+    return predict(docs, fit(docs))

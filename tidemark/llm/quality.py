@@ -80,20 +80,29 @@ def measure(text: bytes | None) -> tuple:
     return (n, chars, symbols, dup_lines, repeats, failed, *(round(v * UNIT) for v in x))
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """(row_key, doc_id, lang, source, base statistics, base_failed, features) of each whole text."""
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    kinds = [("row_key", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), *((f, pa.int64()) for f in FEATURES)]
-    schema = pa.schema(kinds)
+_KINDS = [*((n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), *((f, pa.int64()) for f in FEATURES)]
+_DDL = ", ".join(f"{n} {'boolean' if n == 'base_failed' else 'long'}" for n, _ in _KINDS)
+
+
+def _measured(texts: pa.Array) -> pa.Array:
+    made = [measure(t) for t in texts.to_pylist()]
+    columns = zip(*made) if made else [[]] * len(_KINDS)
+    return pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _KINDS)], names=[n for n, _ in _KINDS])
+
+
+def measured(text: F.Column) -> F.Column:
+    """Base statistics, base_failed and features of each whole text, as one struct."""
+    return F.arrow_udf(_measured, _DDL).asNondeterministic()(text.cast("binary"))  # so that it runs once a row
+
 
-    def run(parts):
-        for part in parts:
-            made = [measure(t) for t in part.column(4).to_pylist()]
-            if made:
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], *(pa.array(c, t) for c, t in zip(zip(*made), schema.types[4:]))], schema=schema)
+def _groups() -> list:
+    return [F.to_json(F.struct(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))).alias("grp"), F.to_json(F.struct(F.col("lang").cast("string").alias("lang"))).alias("wide")]
 
-    ddl = "row_key long, doc_id long, lang string, source string, " + ", ".join(f"{n} long" for n in names) + ", base_failed boolean, " + ", ".join(f"{f} long" for f in FEATURES)
-    return docs.select(common.row_key(docs), F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("binary")).mapInArrow(run, ddl)
+
+def statistics(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, source, grp, wide, base statistics, base_failed, features) of each row."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), *_groups(), measured(F.col("text")).alias("m"))
+    return rows.select("doc_id", "lang", "source", "grp", "wide", "m.*")
 
 
 _K = len(FEATURES)
@@ -221,16 +230,26 @@ def estimate(rows: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Statistics with base_failed, distance (squared) and kept; rows that fail the base rules take no part in estimates."""
-    rows = statistics(docs)
-    rows = common.durable(rows.select("*", F.to_json(F.struct("lang", "source")).alias("grp"), F.to_json(F.struct("lang")).alias("wide")))
+    rows = common.durable(statistics(docs))
     found = estimate(rows.where("not base_failed").select("grp", "wide", *FEATURES))
     far = rows.join(found.select("grp", "mean", "root"), "grp", "left").withColumn("distance", _distance(F.col("mean"), F.col("root"))).drop("mean", "root")
-    return far.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff**2))
+    return far.withColumn("kept", _kept(F.col("base_failed"), F.col("distance"), cutoff))
+
 
+def _kept(failed, distance, cutoff: float) -> F.Column:
+    return ~failed & (F.coalesce(distance, F.lit(0.0)) <= cutoff**2)
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass; all their columns."""
-    return common.only(docs, judge(docs).where("kept"))
+
+def keep_good(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """The documents that pass; all their columns.
+
+    Texts are measured again beside the estimates rather than shuffled to their verdicts.
+    """
+    found = estimate(common.durable(statistics(docs).where("not base_failed").select("grp", "wide", *FEATURES)))
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    seen = docs.select(row, _groups()[0], measured(docs["text"]).alias("m")).where("not m.base_failed")
+    far = seen.join(found.select("grp", "mean", "root"), "grp", "left").select("row", "mean", "root", "m.*")
+    return far.where(_kept(F.col("base_failed"), _distance(F.col("mean"), F.col("root")), cutoff)).select("row.*")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
