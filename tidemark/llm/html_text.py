@@ -1,19 +1,21 @@
 """Main text of web pages by tag-path ratios.
 
-Text nodes are grouped by their path of block tags.  For every path the mean text length and the mean punctuation of
-its nodes are taken, both are smoothed along the page and fused, and paths above a share of the page's spread are
-content.  The element that holds most of the content is the article; its blocks are returned, without the parts that
-markup says are something else (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts).
-
-Defined results: a null or empty page, or one without article, gives the empty text; unclosed or wrongly nested tags
-close where HTML closes them; equal pages give equal texts; an empty table gives no rows; other columns are ignored.
+Every text node has a path of all tags from the root to it.  Per path the text lengths and the punctuation marks of its
+nodes are summed and divided by the number of nodes; both ratios are smoothed along the page and fused, and paths whose
+fused ratio reaches a share of the page's spread are content.  A block of text is content if a node of it has such a
+path.  What stands beside content in the same element (headings, short paragraphs, lists, tables) belongs to it; other
+paths don't.  Markup that says what it is (menus, headers, footers, sidebars, forms, adverts, notices, comments,
+scripts, hidden parts) is left out; names that only hint at it halve the text ratios of what is in there.
+
+Defined results: a null or empty page, or one without text, gives the empty text; pages of any depth and length are read
+whole; unclosed or wrongly nested tags close where HTML closes them; equal pages give equal texts; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -33,88 +35,109 @@ _BLOCK = frozenset("address article aside blockquote body caption center dd deta
 _SPLITS = _BLOCK - {"body", "html", "head"}
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th")}
 _SCOPE = frozenset("html body table ul ol dl menu div section article main aside form blockquote td th".split())
-#: Elements that are never part of an article, and those whose class or id can't make them so.
+#: Elements that are never part of an article; those that a class or id doesn't make so.
 _OTHER = frozenset("nav header footer aside form button select option datalist menu dialog object svg canvas audio video head search fieldset label input".split())
 _FRAME = frozenset("html body article main".split())
+#: Words of class and id.  A name that consists of them says what an element is; one that only has some hints at it.
 _CUES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promos promotion banner nav navbar navigation menu header masthead footer sidebar aside"
     " widget widgets cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup signin login share sharing social related"
-    " recommended comment comments commentlist reply replies respond disqus discussion breadcrumb breadcrumbs pagination pager toolbar topbar skip copyright disclaimer".split()
+    " recommended comment comments commentlist list box container wrapper section reply replies respond disqus discussion breadcrumb breadcrumbs pagination pager toolbar topbar skip copyright disclaimer".split()
 )
+#: Of these a name says nothing alone.
+_PLAIN = frozenset("list box container wrapper section".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-_LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table tbody thead tr td th figure figcaption".split())
-_MARKS = re.compile(r"[.,;:!?…。，、；：！？]")
-#: Share of the standard deviation of the fused ratios that a content path reaches, and of content that an element holds to be the article.
-SPREAD, HOLDS = 0.5, 0.7
+#: Blocks of text, which a name alone doesn't make something else; parts of lists and tables.
+_TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre td th dd dt figcaption".split())
+_PARTS = frozenset("li ul ol dl dt dd table caption tbody thead tfoot tr td th blockquote pre figure figcaption p h1 h2 h3 h4 h5 h6 hgroup center address details summary".split())
+_LISTED = frozenset("li dt dd td th".split())
+_MARKS = re.compile(r"[.,;:!?\u2026\u3002\uff0c\u3001\uff1b\uff1a\uff01\uff1f]")
+#: Share of the fused ratios' standard deviation that a content path reaches; weight of what a name hints to be other.
+SPREAD, HINTED = 0.9, 0.5
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "other", "path")
+    """path: number of the tag path; block: the nearest block element; home: the nearest one that isn't a part of text."""
+
+    __slots__ = ("tag", "parent", "other", "hinted", "path", "block", "home")
 
-    def __init__(self, tag, parent, other):
+    def __init__(self, tag, parent, other, hinted, paths):
         self.tag, self.parent = tag, parent
-        self.other = other or (parent is not None and parent.other)
-        self.path = (parent.path if parent is not None else ()) + ((tag,) if tag in _BLOCK else ())
+        self.other = other or parent is not None and parent.other
+        self.hinted = hinted or parent is not None and parent.hinted
+        self.path = paths.setdefault((parent.path if parent is not None else -1, tag, self.hinted), len(paths))
+        self.block = self if parent is None or tag in _BLOCK else parent.block
+        self.home = self if parent is None or tag in _BLOCK and tag not in _PARTS else parent.home
 
 
-def _is_other(tag: str, rest: str) -> bool:
+def _said(tag: str, rest: str) -> tuple[bool, bool]:
+    """(is something other than an article, hints at it)."""
     if tag in _OTHER:
-        return True
+        return True, False
     if not rest or rest.isspace() or tag in ("html", "body"):
-        return False
-    words: set[str] = set()
+        return False, False
+    says = hints = False
     for name, a, b, c in _ATTRIBUTE.findall(rest):
-        name, value = name.lower(), (a or b or c).lower()
+        name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            words.update(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", a or b or c).lower()))
-        elif name == "hidden" or name == "role" and value in _ROLES or name == "aria-hidden" and value == "true":
-            return True
-        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return tag not in _FRAME and bool(words & _CUES) and not (words & {"article", "entry", "post", "story"} and not words & (_CUES - {"header"}))
+            for token in value.split():
+                words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
+                cues = [w for w in words if w in _CUES]
+                if not all(w in _PLAIN for w in cues):
+                    says |= len(cues) == len(words)
+                    hints = True
+        elif name == "hidden" or name == "role" and value.lower() in _ROLES or name == "aria-hidden" and value.lower() == "true":
+            return True, False
+        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            return True, False
+    if tag in _FRAME:
+        return False, False
+    return (False, True) if tag in _TEXTS and says else (says, hints)
 
 
 class _Block:
-    __slots__ = ("element", "text", "linked", "other")
+    """nodes: (path, hinted, text length, marks) of each text node."""
 
-    def __init__(self, element, text, linked):
-        self.element, self.text, self.linked = element, text, linked
+    __slots__ = ("element", "text", "nodes")
+
+    def __init__(self, element, text, nodes):
+        self.element, self.text, self.nodes = element, text, nodes
 
 
 def blocks(page: str) -> list[_Block]:
-    """Text blocks of a page in order, with the element that each stands in."""
-    top = _Element("#", None, False)
-    stack, out, held, linked = [top], [], [], 0
-    own = top
+    """Text blocks of a page in order, with the element that each stands in and its text nodes."""
+    paths: dict[tuple, int] = {}
+    stack, out, held, nodes = [_Element("#", None, False, False, paths)], [], [], []
+    own = stack[0]
+    paragraphs = 0
 
     def flush():
-        nonlocal linked
         if held:
             text = " ".join("".join(held).split())
             if text:
-                out.append(_Block(own, text, linked))
+                out.append(_Block(own, text, tuple(nodes)))
             held.clear()
-        linked = 0
+            nodes.clear()
 
     def close(i):
-        flush_needed = any(e.tag in _SPLITS for e in stack[i:])
-        if flush_needed:
+        nonlocal paragraphs
+        if any(e.tag in _SPLITS for e in stack[i:]):
             flush()
+        paragraphs -= sum(e.tag == "p" for e in stack[i:])
         del stack[i:]
 
     def say(raw):
-        nonlocal own, linked
-        if raw and not stack[-1].other:
-            at = stack[-1]
-            inside = any(e.tag == "a" for e in stack[1:])
-            while at.tag not in _BLOCK and at.parent is not None:
-                at = at.parent
-            if held and own is not at:
+        nonlocal own
+        at = stack[-1]
+        if raw and not at.other:
+            if held and own is not at.block:
                 flush()
-            own = at
+            own = at.block
             text = html.unescape(raw) if "&" in raw else raw
             held.append(text)
-            linked += len(text) * inside
+            size = len(" ".join(text.split()))
+            if size:
+                nodes.append((at.path, at.hinted, size, len(_MARKS.findall(text))))
 
     at, n = 0, len(page)
     while at < n:
@@ -143,7 +166,7 @@ def blocks(page: str) -> list[_Block]:
             continue
         if tag in _SPLITS:
             flush()
-            for i in range(len(stack) - 1, 0, -1):  # an open paragraph ends here
+            for i in range(len(stack) - 1, 0, -1) if paragraphs else ():  # an open paragraph ends here
                 if stack[i].tag == "p":
                     close(i)
                     break
@@ -161,8 +184,8 @@ def blocks(page: str) -> list[_Block]:
         rest = m["rest"] or m["rest2"] or ""
         if tag in _VOID or rest.endswith("/") and tag not in _BLOCK:
             continue
-        if len(stack) < 512:
-            stack.append(_Element(tag, stack[-1], _is_other(tag, rest)))
+        paragraphs += tag == "p"
+        stack.append(_Element(tag, stack[-1], *_said(tag, rest), paths))
     flush()
     return out
 
@@ -174,64 +197,36 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(padded, weights, "valid") / np.convolve(ones, weights, "valid")
 
 
-def content_paths(found: list[_Block]) -> set[tuple]:
+def content_paths(found: list[_Block], spread: float = SPREAD) -> set[int]:
     """Paths whose fused ratio stands out."""
-    length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
-    for b in found:
-        p = b.element.path
-        length[p] += max(len(b.text) - b.linked, 0)
-        marks[p] += len(_MARKS.findall(b.text))
-        count[p] += 1
-    text = _smooth(np.array([length[b.element.path] / count[b.element.path] for b in found]))
-    punctuation = _smooth(np.array([marks[b.element.path] / count[b.element.path] for b in found]))
+    nodes = [x for b in found for x in b.nodes]
+    path, hinted, length, marks = (np.array(c) for c in zip(*nodes))
+    _, of, count = np.unique(path, return_inverse=True, return_counts=True)
+    weight = np.where(hinted, HINTED, 1.0)
+    text = _smooth((np.bincount(of, length) / count)[of] * weight)
+    punctuation = _smooth((np.bincount(of, marks) / count)[of])
     fused = text * (1 + punctuation)
-    least = SPREAD * fused.std()
-    total = defaultdict(float)
-    for b, x in zip(found, fused):
-        total[b.element.path] += x
-    kept = {p for p, x in total.items() if length[p] and x / count[p] >= least}
-    return kept or {b.element.path for b in found}
+    ratio = np.bincount(of, fused) / count
+    return set(path[(ratio >= min(spread * fused.std(), ratio.max()))[of]].tolist())
 
 
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    found = blocks(page)
+def main_text(page: str | None, spread: float = SPREAD) -> str:
+    found = [b for b in blocks(page) if b.nodes] if page else []
     if not found:
         return ""
-    paths = content_paths(found)
-    mass, inner, total = defaultdict(int), defaultdict(set), 0
-    for b in found:
-        if b.element.path in paths:
-            size = len(b.text) - b.linked
-            total += size
-            e = b.element
-            while e is not None:
-                mass[e] += size
-                if e.parent is not None:
-                    inner[e.parent].add(e)
-                e = e.parent
-    at = found[0].element
-    while at.parent is not None:
-        at = at.parent
-    while at.tag != "article":
-        deeper = [e for e in inner[at] if e.tag not in _LEAVES and mass[e] >= HOLDS * total]
-        if not deeper:
-            break
-        at = deeper[0]
-    holders = set()
-    for b in found:
-        if b.element.path in paths:
-            holders.add(b.element.parent)
-    out = []
-    for b in found:
-        e = b.element
-        while e is not None and e is not at:
+    paths = content_paths(found, spread)
+    sure = [any(x[0] in paths for x in b.nodes) for b in found]
+    homes = set()
+    for b, ok in zip(found, sure):
+        e = b.element.home if ok else None
+        while e is not None and e not in homes:
+            homes.add(e)
             e = e.parent
-        if e is None:
-            continue
-        sure = at.tag in ("article", "main") or b.element.path in paths or b.element.parent in holders
-        if sure and not (b.linked > 0.6 * len(b.text) and b.element.tag in ("li", "div", "td", "ul", "section")):
+    first = sure.index(True)
+    out = []
+    for i, (b, ok) in enumerate(zip(found, sure)):
+        beside = b.element.tag in _PARTS and not b.element.hinted and b.element.home in homes
+        if ok or beside and (i > first or b.element.tag not in _LISTED):
             out.append(b.text)
     return "\n\n".join(out)
 
