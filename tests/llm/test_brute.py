@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, common, langid, neighbours, packing, quality, simhash, suffix
+from tidemark.llm import bpe, common, langid, neighbours, packing, quality, sharding, simhash, suffix
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -256,6 +256,30 @@ def test_the_sample_is_bounded_in_bytes_not_in_languages(spark):
     assert len(model.languages) == 400 and len(model.tables[0].keys) <= 26
 
 
+def test_shards_and_the_next_version(spark, tmp_path):
+    """Sizes near equal, places gapless; a run over more rows edits the stored map and moves few slots."""
+    rng = np.random.default_rng(15)
+    rows = [(int(i), "x" * int(n)) for i, n in enumerate(rng.pareto(1.6, 4000) * 60)] + [(None, "copy")] * 700 + [(5, "other")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    path = str(tmp_path / "maps")
+    versions = []
+    for some in (docs.where("doc_id is null or doc_id < 3000"), docs):
+        placed, (last, new) = sharding.shard(some, path, 8, 512)
+        got, want = placed.collect(), some.collect()
+        assert sorted((r.doc_id or -1, r.size, r.text_crc32) for r in got) == sorted((r.doc_id or -1, len(r.text) + 1, zlib.crc32(r.text.encode())) for r in want)
+        for s in range(8):
+            assert sorted(r.place for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+        assert all(new.shard[r.virtual] == r.shard for r in got)
+        total = Counter()
+        for r in got:
+            total[r.shard] += r.size
+        assert max(total.values()) - min(total.values()) <= 0.01 * sum(total.values()) / 8
+        versions += [last, new]
+    assert versions[1] == versions[2] and [m.version for m in versions] == [0, 1, 1, 2]
+    assert sum(a != b for a, b in zip(versions[1].shard, versions[3].shard)) < 120
+    assert [sharding.load(spark, path, v).shard for v in (0, 1, 2)] == [versions[i].shard for i in (0, 1, 3)]
+
+
 def test_prefix_intervals():
     words = sorted(["banana", "anana", "nana", "ana", "na", "a", "band", "bandana"])
     lcp = [suffix._shared(a.encode(), b.encode()) for a, b in zip(words, words[1:])]

@@ -69,7 +69,7 @@ def test_quality(docs, none):
 
 
 def test_sharding(docs, none):
-    placed, maps = sharding.shard(docs, 3, 64)
+    placed, maps = sharding.shard(docs, None, 3, 64)
     rows = by_id(placed)
     assert len(rows) == len(ROWS) and [m.version for m in maps] == [0, 1]
     for s in range(3):
@@ -77,7 +77,7 @@ def test_sharding(docs, none):
         assert places == list(range(len(places)))
     of = {r["doc_id"]: r for r in rows}
     assert (of[2]["size"], of[2]["text_crc32"]) == (1, 0) and of[1]["text_crc32"] == zlib.crc32(ROWS[0][1].encode())
-    assert not sharding.shard(none, 3, 64)[0].collect()
+    assert not sharding.shard(none, None, 3, 64)[0].collect()
 
 
 def test_slot_map(spark, tmp_path):
@@ -88,7 +88,9 @@ def test_slot_map(spark, tmp_path):
     assert total.max() - total.min() <= max(2, 0.001 * total.mean()) or total.max() == max(sizes.values())
     g = m.grown(sizes)
     assert all(a == b or b == 8 for a, b in zip(m.shard, g.shard)) and g.version == m.version + 1
-    sharding.store(spark, [m, g], str(tmp_path / "maps"))
+    assert sharding.load(spark, str(tmp_path / "maps")) is None
+    for x in (m, g):
+        sharding.store(spark, x, str(tmp_path / "maps"))
     assert sharding.load(spark, str(tmp_path / "maps")) == g and sharding.load(spark, str(tmp_path / "maps"), m.version) == m
 
 

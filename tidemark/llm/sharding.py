@@ -1,16 +1,21 @@
 """Sharding by fixed virtual slots and a versioned slot-to-shard map.
 
-Records hash into thousands of virtual slots.  Bytes and rows are summed per slot; version 0 of the map deals slots
-out evenly, and every rebalance adds a version that moves few slots from the largest shards to the smallest.  Only
-slot totals (a table as long as the number of slots, whatever the input) come to the driver.
+Records hash into thousands of virtual slots.  Bytes and rows are summed per slot.  The stored map of the last run, or at
+first one that deals slots out evenly, is edited: slots move from the largest shards to the smallest while that evens them
+out, and the next version is stored beside the ones before it.  Only slot totals (a table as long as the number of slots,
+whatever the input) come to the driver.
 
-Defined results: a null text has size 1 and checksum 0; a null doc_id hashes like one more value; equal rows get places
-one after the other; an empty table gives no rows; other columns of the input are ignored.
+Law `bytes`: a group of equal texts, however large, is dealt over all slots by the ids of its rows, so it can't upset it.
+
+Defined results: a null text has size 1 and checksum 0; very long texts count in full; a null doc_id hashes like one more
+value; rows that share a doc_id share a slot, are numbered in pieces, and equal ones get places of their own; ties are
+places in any order; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import zlib
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +24,8 @@ from pyspark.sql.window import Window
 
 from . import common
 
-SLOTS = 8192
+#: Virtual slots, and the pieces that the rows of one are numbered in.
+SLOTS, PIECES = 8192, 16
 
 
 @dataclass(frozen=True)
@@ -100,56 +106,69 @@ class SlotMap:
             taken -= n
         return self.moved(moves, self.shards + 1)
 
-    def rows(self):
-        return [(self.version, s, x) for s, x in enumerate(self.shard)]
-
 
-def store(spark: SparkSession, maps: list[SlotMap], path: str) -> None:
-    """Append versions of the map to the table at path: version, slot, shard."""
-    rows = [r for m in maps for r in m.rows()]
-    spark.createDataFrame(rows, "version int, slot int, shard int").write.mode("append").partitionBy("version").parquet(path)
+def store(spark: SparkSession, m: SlotMap, path: str) -> None:
+    """Write a version of the map beside the others at path: version, slot, shard."""
+    rows = spark.createDataFrame([(s, x) for s, x in enumerate(m.shard)], "slot int, shard int").coalesce(1)
+    rows.select("*", F.lit(m.shards).alias("shards")).write.mode("overwrite").parquet(f"{path}/version={m.version}")
 
 
-def load(spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
-    """One version of the stored map, the last if none is named."""
+def load(spark: SparkSession, path: str, version: int | None = None) -> SlotMap | None:
+    """One version of the stored map, the last if none is named; None if nothing is stored."""
+    if not common.exists(spark, path):
+        return None
     kept = spark.read.parquet(path)
     if version is None:
         version = kept.agg(F.max("version")).first()[0]
-    rows = kept.where(F.col("version") == version).orderBy("slot").collect()
-    return SlotMap(version, max(r.shard for r in rows) + 1, tuple(r.shard for r in rows))
+    rows = kept.where(F.col("version") == version).orderBy("slot").collect()  # as many as there are slots
+    return SlotMap(version, rows[0].shards, tuple(r.shard for r in rows))
 
 
 def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, virtual): no text leaves its task."""
+    """(doc_id, size, text_crc32, virtual, piece): no text leaves its task; a piece is a part of a slot's rows."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + F.lit(1)).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_crc32"),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(slots)).cast("int").alias("virtual"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PIECES)).cast("int").alias("piece"),
     )
 
 
-def shard(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> tuple[DataFrame, list[SlotMap]]:
-    """Rows with shard and place, and the versions of the map, the last of which holds.
+def shard(docs: DataFrame, maps: str | None = None, shards: int = 16, slots: int = SLOTS) -> tuple[DataFrame, list[SlotMap]]:
+    """Rows with shard and place, and the map before and after; its versions stand at the path `maps`, if one is given.
 
-    Places are gapless in each shard: the row's number in its virtual slot after the rows of the slots before it.
+    Places are gapless in each shard: the row's number in a piece of its slot, behind the pieces and slots before it.
     """
     spark = docs.sparkSession
-    rows = common.durable(slotted(docs, slots))
-    per_slot = rows.groupBy("virtual").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()  # at most `slots` rows
+    rows = common.durable(slotted(docs, slots))  # written once, so a piece is the same in all that follows
+    per_piece = common.durable(rows.groupBy("virtual", "piece").agg(F.sum("size").alias("size"), F.count("*").alias("n")))
+    per_slot = per_piece.groupBy("virtual").agg(F.sum("size").alias("size"), F.sum("n").alias("n")).collect()  # at most `slots` rows
     sizes, counts = {r.virtual: r.size for r in per_slot}, {r.virtual: r.n for r in per_slot}
-    maps = [SlotMap.even(slots, shards)]
-    maps.append(maps[0].rebalanced(sizes))
+    last = load(spark, maps) if maps else None
+    if last is None or len(last.shard) != slots or last.shards > shards:
+        last = SlotMap.even(slots, shards)
+        if maps:
+            store(spark, last, maps)
+    new = last
+    while new.shards < shards:
+        new = new.grown(sizes)
+    new = new.rebalanced(sizes)
+    if maps and new.shard != last.shard:
+        store(spark, new, maps)
     base, at = [], [0] * shards
-    for s, x in enumerate(maps[-1].shard):
+    for s, x in enumerate(new.shard):
         base.append((s, x, at[x]))
         at[x] += counts.get(s, 0)
     places = spark.createDataFrame(base, "virtual int, shard int, base long").coalesce(1)
-    number = F.row_number().over(Window.partitionBy("virtual").orderBy("doc_id", "text_crc32", "size"))
-    placed = rows.withColumn("_n", number).join(F.broadcast(places), "virtual")
-    return placed.select("doc_id", "size", "text_crc32", "virtual", "shard", (F.col("base") + F.col("_n") - 1).alias("place")), maps
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("virtual").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = per_piece.withColumn("_e", earlier).join(F.broadcast(places), "virtual").select("virtual", "piece", "shard", (F.col("base") + F.col("_e")).alias("first"))
+    number = F.row_number().over(Window.partitionBy("virtual", "piece").orderBy("doc_id", "text_crc32", "size"))
+    placed = rows.withColumn("_n", number).join(first, ["virtual", "piece"])
+    return placed.select("doc_id", "size", "text_crc32", "virtual", "shard", (F.col("first") + F.col("_n") - 1).alias("place")), [last, new]
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = shard(common.table(spark, sf_dir, "documents"))
+    maps = f"{common.shared_dir(spark)}/tidemark-slot-maps/{zlib.crc32(sf_dir.encode()):08x}"
+    placed, _ = shard(common.table(spark, sf_dir, "documents"), maps)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("virtual").alias("virtual_slot"))
