@@ -297,6 +297,49 @@ def test_bpe_is_the_librarys(texts):
         assert packing.token_bytes(PATH, 2)(t) == np.array([*ids, 2], "<u4").tobytes()
 
 
+def test_code_points_newer_than_pythons():
+    from tokenizers import Tokenizer
+
+    whole, own = Tokenizer.from_file(PATH), bpe.Encoder(PATH)
+    points = [c for c in range(0x80, 0x110000, 7) if not 0xD800 <= c < 0xE000] + [0x208F, 0x209D, 0x1C89, 0x1C8A, 0xA7CB, 0x10D50, 0x323B0, 0x105C0]
+    texts = [f"a{chr(c)}1{chr(c)}{chr(c)}x" for c in points]
+    for text, found in zip(texts, whole.encode_batch(texts, add_special_tokens=False)):
+        assert own.encode(text) == found.ids, ascii(text)
+
+
+def test_what_is_remembered_is_bounded_in_bytes(monkeypatch):
+    own = bpe.Encoder(PATH)
+    memo = bpe.Memo(own.chunk_ids, 50_000)
+    monkeypatch.setattr(bpe, "WORD_BYTES", 50_000)
+    for i in range(3000):
+        chunk = f"{i:x}" * (1 + i % 60)
+        assert memo[chunk] == bpe.Encoder.chunk_ids(own, chunk)
+        memo.trim()
+        assert memo.held <= 60_000 and own.held <= 60_000 and all(len(c) <= bpe.LONGEST for c in [*memo, *own.known])
+
+
+def test_levels_are_those_of_the_least_sum_of_squares():
+    rng = np.random.default_rng(16)
+    packer = packing.Packer(32)
+    counts = np.zeros(33, int)
+    for n in rng.integers(1, 32, 3000).tolist():
+        def after(level):
+            c = counts.copy()
+            c[level] -= level > 0
+            if level + n < 32:
+                c[level + n] += 1
+            return int((c**2).sum())
+
+        can = [0, *(x for x in range(1, 32 - n + 1) if counts[x])]
+        level = packer.level_for(n)
+        assert level in can and after(level) == min(map(after, can))
+        packer.add(0, bytes(4 * n))
+        counts[level] -= level > 0
+        if level + n < 32:
+            counts[level + n] += 1
+        assert (packer.count[1:32] == counts[1:32]).all()
+
+
 def test_packing(docs, texts):
     own = bpe.encoder(PATH)
     ids = {i * 3: [*own.encode(t), 2] for i, t in enumerate(texts)}

@@ -3,8 +3,11 @@
 Merges come off a priority queue of (rank, place); the symbols stand in a doubly linked list, and entries whose pair
 has changed since are skipped.  Decoding joins the vocabulary strings as the file's (absent) decoder does.
 
-Defined results: null and empty texts have no ids; ids of very long words cost n log n; equal rows give equal rows;
-an empty table gives none; other columns of the input are ignored.
+Letters, digits and lower case of code points that this Python's Unicode doesn't know yet are asked of the library once.
+
+Defined results: null and empty texts have no ids; very long texts are encoded whole, and ids of very long words cost
+n log n; of equal ranks the leftmost merges first; equal rows give equal rows; an empty table gives none; other columns
+of the input are ignored.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from . import common
 #: White space as Unicode has it; str.split() also cuts at the four separators below.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-#: Entries that a worker remembers of chunks and of words; the rest is encoded again.
-CHUNKS, WORDS = 600_000, 300_000
+#: Bytes that a worker remembers of chunks and of words, about, and the longest of either; the rest is encoded again.
+CHUNK_BYTES, WORD_BYTES, LONGEST = 256 << 20, 64 << 20, 128
 
 
 def byte_letters() -> list[str]:
@@ -54,9 +57,25 @@ class Encoder:
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern.replace(r"\s", _SPACE))
         self.letters = byte_letters()
+        self._newer(path)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.split_space = regex.compile(f"[{_SPACE}]+")
         self.known: dict[str, tuple[int, ...]] = {}
+        self.held = 0
+
+    def _newer(self, path: str) -> None:
+        """stand_in: a code point of the same class for each one that is newer than unicodedata; lowers: their lower case."""
+        from tokenizers import Tokenizer
+
+        whole, known = Tokenizer.from_file(path), regex.compile(r"[\p{L}\p{N}]")
+        newer = [c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Cn" and known.match(c)]
+        split, lower = whole.pre_tokenizer.pre_tokenize_str, whole.normalizer.normalize_str
+        self.lowers = {ord(c): x for c in newer if (x := lower(c)) != c}
+        self.stand_in = {}
+        for c in newer:
+            low = c.translate(self.lowers)
+            self.stand_in[ord(low)] = "a" if len(split("a" + low)) == 1 else "1" if len(split(low + low)) == 2 else "~"
+        self.newer = regex.compile(f"[{''.join(map(regex.escape, {*newer, *map(chr, self.stand_in)}))}]")
 
     def chunks(self, text: str):
         """Lists of chunks, and between them the ids of special tokens that the text names."""
@@ -74,13 +93,21 @@ class Encoder:
             chunk = chunk.lower()
         else:
             chunk = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
+            if self.newer.search(chunk):
+                chunk = chunk.translate(self.lowers)
+                words = [chunk[slice(*m.span())] for m in self.words.finditer(chunk.translate(self.stand_in))]
+                return [x for word in words for x in self.word_ids(word)]
         ids: list[int] = []
         for word in self.words.findall(chunk):
             found = self.known.get(word)
             if found is None:
-                if len(self.known) >= WORDS:
-                    self.known.clear()
-                found = self.known[word] = tuple(self.word_ids(word))
+                found = tuple(self.word_ids(word))
+                if len(word) <= LONGEST:
+                    self.held += 200 + 4 * len(word) + 8 * len(found)
+                    if self.held > WORD_BYTES:
+                        self.known.clear()
+                        self.held = 0
+                    self.known[word] = found
             ids += found
         return ids
 
@@ -125,18 +152,22 @@ class Encoder:
 
 
 class Memo(dict):
-    """What make gives for a chunk, remembered; trim() between texts keeps it bounded."""
+    """What make gives for a chunk, remembered up to a number of bytes; long chunks are made anew; trim() between texts."""
 
-    def __init__(self, make, most: int = CHUNKS):
-        self.make, self.most = make, most
+    def __init__(self, make, most: int = CHUNK_BYTES):
+        self.make, self.most, self.held = make, most, 0
 
     def __missing__(self, chunk):
-        self[chunk] = made = self.make(chunk)
+        made = self.make(chunk)
+        if len(chunk) <= LONGEST:
+            self.held += 400 + 12 * len(chunk)  # what a chunk, its ids and their texts take at most, about
+            self[chunk] = made
         return made
 
     def trim(self) -> None:
-        if len(self) > self.most:
+        if self.held > self.most:
             self.clear()
+            self.held = 0
 
 
 _ENCODERS: dict[str, Encoder] = {}
