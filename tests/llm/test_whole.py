@@ -151,3 +151,21 @@ def test_grams_split_by_their_surroundings(spark, monkeypatch, hot):
         string = texts[places[0][0]][places[0][1] : places[0][1] + n]
         every = {(d, s) for d, t in enumerate(texts) for s in range(len(t)) if t.startswith(string, s)}
         assert set(places) == every
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_dense_groups_in_tiles_and_crowded_leaves(spark, monkeypatch, small):
+    """A third of all vectors in one group, whatever the sizes of blocks, tiles and leaves."""
+    if small:
+        for name, value in (("BLOCK", 8), ("LARGE_BLOCK", 64), ("BLOCKS", 3), ("TILE", 7), ("CROWDED", 40)):
+            monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(31)
+    x = rng.standard_normal((600, 16))
+    x[:200] = x[0] + 0.12 * rng.standard_normal((200, 16))
+    x[300:330] = x[330:360] + 0.05 * rng.standard_normal((30, 16))
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = y @ y.T >= 0.9
+    np.fill_diagonal(links, False)
+    root = common.forest(*np.nonzero(links), 600)
+    rows = neighbours.link(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in rows} == {i: (int(links[i].sum()), int(root[i])) for i in range(600)}

@@ -23,8 +23,10 @@ from pyspark.sql.window import Window
 
 from . import common
 
-#: Neighbours a list holds, and holds when saturated; rows of a leaf; trees; rounds; rows of an exact block.
-NEIGHBOURS, WIDE, LEAF, TREES, ROUNDS, BLOCK = 8, 32, 192, 12, 4, 1024
+#: Neighbours a list holds, and holds when saturated; rows of a leaf, and of one that is cut up; trees; rounds.
+NEIGHBOURS, WIDE, LEAF, CROWDED, TREES, ROUNDS = 8, 32, 192, 4096, 12, 4
+#: Rows of small and of large exact blocks, blocks of the small size at most, and rows compared at once.
+BLOCK, LARGE_BLOCK, BLOCKS, TILE = 128, 8192, 24, 1024
 #: Vectors of a kind whose links the audit counts against all rows, and the recall it asks for.
 AUDIT, RECALL = 512, 0.97
 
@@ -89,7 +91,10 @@ def _best(ids: np.ndarray, x: np.ndarray, k: int):
 
 
 def leaves(nodes: DataFrame, width: int, bits: int, trees: int, seed: int, k: int) -> DataFrame:
-    """Edges inside random-hyperplane leaves; a leaf that is too large is ordered once more and cut."""
+    """Edges inside random-hyperplane leaves; a leaf that is too large is ordered once more and cut.
+
+    A crowded leaf is first dealt into parts by a hash that differs from tree to tree, so no task holds a dense group.
+    """
     rng = np.random.default_rng(seed)
     planes = rng.standard_normal((trees, width, max(bits, 1) + 1)).astype(np.float32)
 
@@ -132,13 +137,19 @@ def leaves(nodes: DataFrame, width: int, bits: int, trees: int, seed: int, k: in
             yield held
 
     dealt = nodes.select("node", "v").mapInArrow(spread, "leaf long, at float, node long, v binary")
+    crowded = common.durable(dealt.groupBy("leaf").count().where(F.col("count") > CROWDED))
+    if not crowded.isEmpty():
+        dealt = dealt.join(crowded, "leaf", "left")
+        part = F.pmod(F.xxhash64("leaf", "node"), F.ceil(F.col("count") / CROWDED))
+        dealt = dealt.select(F.when(F.col("count").isNull(), F.col("leaf")).otherwise(F.xxhash64("leaf", part)).alias("leaf"), "at", "node", "v")
     return dealt.repartition("leaf").sortWithinPartitions("leaf", "at").mapInArrow(join, "node long, nbr long, sim float")
 
 
 def _kept(edges: DataFrame, threshold: float, k: int, wide: int) -> DataFrame:
-    """Each node's k best neighbours, up to `wide` where the list is full of links."""
+    """Each node's k best neighbours, up to `wide` where the list is full of links; a hub comes down to that many a task."""
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sim"), "nbr"))
-    return edges.withColumn("_r", place).where((F.col("_r") <= k) | ((F.col("sim") >= threshold) & (F.col("_r") <= wide))).drop("_r")
+    most = max(k, wide)
+    return edges.withColumn("_r", place).where((F.col("_r") <= most) & ((F.col("_r") <= k) | (F.col("sim") >= threshold))).drop("_r")
 
 
 def descend(graph: DataFrame, nodes: DataFrame, width: int, threshold: float, k: int = NEIGHBOURS, wide: int = WIDE) -> tuple[DataFrame, int]:
@@ -173,10 +184,11 @@ def descend(graph: DataFrame, nodes: DataFrame, width: int, threshold: float, k:
 def count_links(nodes: DataFrame, groups: DataFrame, width: int, threshold: float) -> DataFrame:
     """(node, n, low): copies of other nodes linked in its group, and the smallest of them, exactly; groups: (node, root).
 
-    A group of m nodes is dealt into blocks; every pair of blocks is one unit of work.
+    A group of m nodes is dealt into blocks; every pair of blocks is one unit of work.  Blocks grow with the group, so that
+    its vectors aren't copied more often than m / LARGE_BLOCK + BLOCKS times.
     """
     members = nodes.join(groups, "node").select("root", "node", "copies", "v")
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = members.groupBy("root").agg(F.ceil(F.least(F.count("*") / BLOCK, F.lit(BLOCKS) + F.count("*") / LARGE_BLOCK)).alias("blocks"))
     own = members.join(sizes, "root").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")))
     pairs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o")
     dealt = own.select("root", "b", "node", "copies", "v", pairs).select(F.struct("root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")).alias("unit"), "b", "node", "copies", "v")
@@ -204,32 +216,27 @@ def count_links(nodes: DataFrame, groups: DataFrame, width: int, threshold: floa
             a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
             if not len(a) or not len(b):
                 continue
-            sims = (x[a] @ x[b].T) / np.outer(norm[a], norm[b])
-            ok = sims >= threshold
-            if i == j:
-                np.fill_diagonal(ok, False)
-            out = []
-            for mine, theirs, table in ((a, b, ok), (b, a, ok.T))[: 1 if i == j else 2]:
-                n = table @ copies[theirs]
-                low = np.where(table, ids[theirs], np.iinfo(np.int64).max).min(axis=1)
-                has = n > 0
-                out.append((ids[mine][has], n[has], low[has]))
-            root = common.forest(*np.nonzero(_square(ok, a, b, len(rows))), len(rows))
-            for u, v in ((ids, ids[root]),):
-                apart = u != v
-                out.append((u[apart], np.zeros(apart.sum(), np.int64), v[apart]))
-            u, n, low = (np.concatenate(c) for c in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n), pa.array(low)], names=["node", "n", "low"])
+            u = x / norm[:, None]
+            n, low, root = np.zeros(len(rows), np.int64), np.full(len(rows), np.iinfo(np.int64).max), np.arange(len(rows))
+            for p in range(0, len(a), TILE):
+                for q in range(p if i == j else 0, len(b), TILE):
+                    mine, theirs = a[p : p + TILE], b[q : q + TILE]
+                    ok = u[mine] @ u[theirs].T >= threshold
+                    if i == j and p == q:
+                        np.fill_diagonal(ok, False)
+                    for one, other, table in ((mine, theirs, ok), (theirs, mine, ok.T))[: 1 if i == j and p == q else 2]:
+                        n[one] += table @ copies[other]
+                        low[one] = np.minimum(low[one], np.where(table, ids[other], np.iinfo(np.int64).max).min(axis=1))
+                    at, to = np.nonzero(ok)
+                    pairs = np.unique(root[mine[at]] * len(rows) + root[theirs[to]])
+                    root = common.forest(pairs // len(rows), pairs % len(rows), len(rows))[root]
+            has, apart = np.flatnonzero(n), np.flatnonzero(root != np.arange(len(rows)))
+            columns = ((ids[has], ids[apart]), (n[has], np.zeros(len(apart), np.int64)), (low[has], ids[root[apart]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["node", "n", "low"])
 
     return dealt.repartition("key").sortWithinPartitions("key", "root", "i", "j").select("key", "root", "i", "j", "b", "node", "copies", "v").mapInArrow(run, "node long, n long, low long")
 
 
-def _square(ok, a, b, n):
-    full = np.zeros((n, n), bool)
-    full[np.ix_(a, b)] = ok
-    return full
-
-
 def trees_for(bits: int, threshold: float, found: float = 0.99) -> int:
     """Trees in which a pair at the threshold shares a leaf at least once with that chance, each of so many planes."""
     one = (1 - np.arccos(threshold) / np.pi) ** bits
