@@ -64,13 +64,23 @@ def test_near_cells_find_all_within_three():
     assert all(left[k] & right[k] for k in range(300))
 
 
+def test_big_cells_by_pieces(monkeypatch):
+    rng = np.random.default_rng(17)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    fp = base[rng.integers(0, 40, 1500)] ^ (np.uint64(1) << rng.integers(0, 64, 1500).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 1500).astype(np.uint64))
+    cell = np.zeros(1500, np.int64)
+    want = common.forest(*simhash._linked(cell, fp, 3), 1500)
+    monkeypatch.setattr(simhash, "_BIG", 100)
+    assert (common.forest(*simhash._linked(cell, fp, 3), 1500) == want).all() and len(set(want)) < 400
+
+
 def test_dense_cells():
     rng = np.random.default_rng(2)
     fp = np.uint64(2**40 - 1) ^ (np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64))
     cell = np.sort(rng.integers(0, 3, 900))
-    i, j = simhash._linked(cell, [fp], 3)
+    i, j = simhash._linked(cell, fp, 3)
     assert (cell[i] == cell[j]).all() and len(np.unique(common.forest(i, j, 900))) == 3
-    k, m = simhash._linked(np.zeros(900, np.int64), [fp], 3)
+    k, m = simhash._linked(np.zeros(900, np.int64), fp, 3)
     assert not common.forest(k, m, 900).any()
 
 
@@ -377,20 +387,3 @@ def test_neighbours(spark):
     rows = neighbours.link(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
     got = {r.vec_id: (r.n_links, r.component_id) for r in rows}
     assert got == {i: (int(links[i].sum()), int(root[i])) for i in range(700)}
-
-
-def test_nearest_links_connect_at_every_radius():
-    """The spanning forest joins just what all pairs within a radius join, in small cells and big ones."""
-    rng = np.random.default_rng(5)
-    cell = np.sort(np.r_[np.zeros(150, np.int64), rng.integers(1, 12, 90)])
-    centres = rng.integers(0, 1 << 62, (6, 2))
-    flips = (np.int64(1) << rng.integers(0, 62, (len(cell), 2, 5))) * (rng.random((len(cell), 2, 5)) < 0.5)
-    both = centres[rng.integers(0, 6, len(cell))] ^ np.bitwise_xor.reduce(flips, axis=2)
-    fps = [both[:, 0].astype(np.uint64), both[:, 1].astype(np.uint64)]
-    d = sum(np.bitwise_count(x[:, None] ^ x[None]).astype(np.int64) for x in fps)
-    i, j = simhash._nearest(cell, fps, 12)
-    assert (cell[i] == cell[j]).all() and (d[i, j] <= 12).all() and len(i) < len(cell)
-    for radius in (0, 3, 6, 9, 12):
-        near = d[i, j] <= radius
-        a, b = np.nonzero((d <= radius) & (cell[:, None] == cell[None]))
-        assert (common.forest(i[near], j[near], len(cell)) == common.forest(a, b, len(cell))).all()

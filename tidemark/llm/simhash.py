@@ -4,8 +4,8 @@ A fingerprint is cut into 2-bit segments; the vector of their bit counts changes
 under the Manhattan norm, so vectors farther apart than the radius can't belong to linked fingerprints.  Grid cells
 over that vector bring candidates together; every candidate is then checked on the whole fingerprint.
 
-Defined results: null or empty text, or one without words, has fingerprint zero and links like any other; equal rows
-link; a null doc_id never becomes a component id unless nothing else is reachable; an empty table gives no rows;
+Defined results: null or empty text, or one without words, has fingerprint zero and links like any other; very long
+texts count whole, in blocks; a bit set in just half the shingles is 0; equal rows link; a null doc_id never becomes a component id unless nothing else is reachable; an empty table gives no rows;
 other columns of the input are ignored.
 """
 
@@ -24,10 +24,11 @@ from . import common
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _COLUMN = np.arange(8, dtype=np.int64) * 256
-_HALF = np.uint64(0x55555555)
 _LOW = np.uint64(0xFFFFFFFF)
 #: Words whose shingles are hashed at once, so that very long texts need little memory.
 _BLOCK = 1 << 18
+#: Rows of a cell that is searched by pieces of its fingerprints; the result is the same.
+_BIG = 20_000
 
 
 def fingerprint(text: bytes | None, width: int, seed: int) -> int:
@@ -47,20 +48,15 @@ def fingerprint(text: bytes | None, width: int, seed: int) -> int:
     return int(np.packbits(counts.ravel() * 2 > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seeds: tuple[int, ...] = (42,), words: bool = False) -> DataFrame:
-    """(doc_id, f0, f1, ...): one fingerprint for each seed; with words, also a hash of the whole word sequence."""
-    names = [*(f"f{i}" for i in range(len(seeds))), *(["words"] if words else [])]
-    schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in names)])
+def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
+    """(doc_id, f0): the fingerprint of each row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("f0", pa.int64())])
 
     def run(parts):
         for part in parts:
-            texts = part.column(1).to_pylist()
-            found = [[fingerprint(t, width, s) for t in texts] for s in seeds]
-            if words:
-                found.append([xxhash.xxh64_intdigest(b" ".join((t or b"").lower().split())) - (1 << 63) for t in texts])
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in found)], schema=schema)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([fingerprint(t, width, seed) for t in part.column(1).to_pylist()], pa.int64())], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, f0 long")
 
 
 def _counts(x: np.ndarray) -> np.ndarray:
@@ -91,91 +87,41 @@ def near_cells(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(cells).view(np.int64)
 
 
-def _small_pairs(cell: np.ndarray, fps: list[np.ndarray], radius: int, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs within radius, and their distances, in the cells of 64 rows or fewer; of: the size of each row's cell."""
+def _small_pairs(cell: np.ndarray, fp: np.ndarray, radius: int, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within radius in the cells of 64 rows or fewer; of: the size of each row's cell."""
     small = np.flatnonzero((of > 1) & (of <= 64))
-    c, f = cell[small], [x[small] for x in fps]
-    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int16))]
+    c, f = cell[small], fp[small]
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     k = 1
     while len(small) > k:
         at = np.flatnonzero(c[k:] == c[:-k])
         if not len(at):
             break
-        d = sum(np.bitwise_count(x[at] ^ x[at + k]).astype(np.int16) for x in f)
-        ok = d <= radius
-        found.append((small[at[ok]], small[at[ok] + k], d[ok]))
+        ok = np.bitwise_count(f[at] ^ f[at + k]) <= radius
+        found.append((small[at[ok]], small[at[ok] + k]))
         k += 1
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _nearest(cell: np.ndarray, fps: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Minimum spanning forest, by distance, of the links within radius inside each cell; cell is sorted.
-
-    At every smaller radius too it connects what is linked, and a row's nearest partner is always one of its links.
-    Big cells take memory in proportion to their rows.
-    """
-    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-    size = np.diff(np.r_[starts, len(cell)])
-    i, j, d = _small_pairs(cell, fps, radius, np.repeat(size, size))
-    order = np.argsort(d, kind="stable")
-    i, j = i[order], j[order]
-    found_i, found_j, lab = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.arange(len(cell))
-    while True:  # each component takes its first link, in order of distance, to another one
-        a, b = lab[i], lab[j]
-        apart = a != b
-        if not apart.any():
-            break
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        first = np.full(len(cell), len(i))
-        rank = np.arange(len(i))
-        np.minimum.at(first, a, rank)
-        np.minimum.at(first, b, rank)
-        took = np.unique(first[first < len(i)])
-        found_i.append(i[took])
-        found_j.append(j[took])
-        lab = common.forest(np.concatenate(found_i), np.concatenate(found_j), len(cell))
-    for s, m in zip(starts[size > 64], size[size > 64]):
-        own = [x[s : s + m] for x in fps]
-        rest, at = np.arange(1, m), 0
-        best, via = np.full(m - 1, 1 << 14, np.int16), np.zeros(m - 1, np.int64)
-        links = []
-        while len(rest):
-            d = sum(np.bitwise_count(x[rest] ^ x[at]).astype(np.int16) for x in own)
-            closer = d < best
-            best[closer] = d[closer]
-            via[closer] = at
-            k = int(best.argmin())
-            if best[k] <= radius:
-                links.append((rest[k], via[k]))
-            at = rest[k]
-            rest, best, via = (np.delete(x, k) for x in (rest, best, via))
-        if links:
-            pairs = np.array(links, np.int64) + s
-            found_i.append(pairs[:, 0])
-            found_j.append(pairs[:, 1])
-    return np.concatenate(found_i), np.concatenate(found_j)
-
-
-def _linked(cell: np.ndarray, fps: list[np.ndarray], radius: int, deep: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def _linked(cell: np.ndarray, fp: np.ndarray, radius: int, deep: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs within radius that connect what is linked inside each cell; cell is sorted."""
     starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     size = np.diff(np.r_[starts, len(cell)])
-    i, j, _ = _small_pairs(cell, fps, radius, np.repeat(size, size))
+    i, j = _small_pairs(cell, fp, radius, np.repeat(size, size))
     found_i, found_j = [i], [j]
     for s, m in zip(starts[size > 64], size[size > 64]):
-        own = [x[s : s + m] for x in fps]
-        if deep and m > 20_000 and radius <= 3 and len(fps) == 1:  # one of four 16-bit pieces is equal
+        own = fp[s : s + m]
+        if deep and m > _BIG and radius <= 3:  # one of four 16-bit pieces is equal
             for piece in range(4):
-                key = (own[0] >> np.uint64(16 * piece)) & np.uint64(0xFFFF)
+                key = (own >> np.uint64(16 * piece)) & np.uint64(0xFFFF)
                 order = np.argsort(key, kind="stable")
-                i, j = _linked(key[order], [own[0][order]], radius, False)
+                i, j = _linked(key[order], own[order], radius, False)
                 found_i.append(s + order[i])
                 found_j.append(s + order[j])
             continue
         step = max(1, (1 << 22) // int(m))
         for a in range(0, int(m), step):
-            d = sum(np.bitwise_count(x[a : a + step, None] ^ x[None, a:]).astype(np.int16) for x in own)
-            i, j = np.nonzero(np.triu(d <= radius, 1))
+            i, j = np.nonzero(np.triu(np.bitwise_count(own[a : a + step, None] ^ own[None, a:]) <= radius, 1))
             root = common.forest(i, j, int(m) - a)
             i = np.flatnonzero(root != np.arange(len(root)))
             found_i.append(s + a + i)
@@ -183,62 +129,56 @@ def _linked(cell: np.ndarray, fps: list[np.ndarray], radius: int, deep: bool = T
     return np.concatenate(found_i), np.concatenate(found_j)
 
 
-def link(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",), nearest: bool = False) -> DataFrame:
-    """Edges (u, v) that connect all nodes found within radius; fps: (node, fingerprints), a row for each node.
+def link(fps: DataFrame, radius: int = 3, cells=near_cells) -> DataFrame:
+    """Edges (u, v) that connect all nodes found within radius; fps: (node, f0), a row for each node.
 
-    A cell with many fingerprints gives a spanning forest of its links, never all its pairs: one to the smallest
-    node reachable, or, with nearest, one of direct links that are as short as can be.
+    A cell with many fingerprints gives one edge a node, to the smallest node reachable, never all its pairs.
     """
-    keys = pa.schema([("cell", pa.int64()), *((n, pa.int64()) for n in names), ("node", pa.int64())])
+    keys = pa.schema([("cell", pa.int64()), ("f0", pa.int64()), ("node", pa.int64())])
 
     def spread(parts):
         for part in parts:
             if part.num_rows:
-                cols = [part.column(n).to_numpy() for n in names]
-                rows, cell = cells(cols[0].view(np.uint64))
-                node = part.column("node").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(cell), *(pa.array(c[rows]) for c in cols), pa.array(node[rows])], schema=keys)
-
-    def edges_of(cols):
-        cell, node = cols[0], cols[-1]
-        i, j = (_nearest if nearest else _linked)(cell, [c.view(np.uint64) for c in cols[1:-1]], radius)
-        if not nearest:
-            root = common.forest(i, j, len(cell))
-            i = np.flatnonzero(root != np.arange(len(root)))
-            j = root[i]
-        u, v = node[i], node[j]
+                fp, node = part.column("f0").to_numpy(), part.column("node").to_numpy()
+                rows, cell = cells(fp.view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(fp[rows]), pa.array(node[rows])], schema=keys)
+
+    def edges_of(cell, fp, node):
+        i, j = _linked(cell, fp.view(np.uint64), radius)
+        root = common.forest(i, j, len(cell))
+        i = np.flatnonzero(root != np.arange(len(root)))
+        u, v = node[i], node[root[i]]
         pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
 
     def match(parts):
         held = None
         for part in parts:
-            cols = [part.column(i).to_numpy() for i in range(part.num_columns)]
+            cols = [part.column(i).to_numpy() for i in range(3)]
             held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
             if len(held[0]) and held[0][0] != held[0][-1] and len(held[0]) >= 1 << 16:
                 cut = np.searchsorted(held[0], held[0][-1])
-                yield edges_of([c[:cut] for c in held])
+                yield edges_of(*(c[:cut] for c in held))
                 held = [c[cut:] for c in held]
         if held is not None and len(held[0]):
-            yield edges_of(held)
+            yield edges_of(*held)
 
-    longs = ", ".join(f"{n} long" for n in names)
-    dealt = fps.select(*names, "node").where("node is not null").mapInArrow(spread, f"cell long, {longs}, node long")
+    dealt = fps.select("f0", "node").where("node is not null").mapInArrow(spread, "cell long, f0 long, node long")
     return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(match, "u long, v long")
 
 
-def clusters(fps: DataFrame, radius: int, cells, names: tuple[str, ...] = ("f0",)) -> DataFrame:
-    """fps (doc_id, fingerprints) with component_id: the smallest doc_id reachable."""
+def clusters(fps: DataFrame, radius: int = 3) -> DataFrame:
+    """fps (doc_id, f0) with component_id: the smallest doc_id reachable."""
     fps = common.durable(fps)
-    nodes = common.durable(fps.groupBy(*names).agg(F.min("doc_id").alias("node")))
-    found = common.components(link(nodes, radius, cells, names))
-    named = nodes.join(found, "node", "left").select(*names, F.coalesce("root", "node").alias("component_id"))
-    return fps.join(named, list(names))
+    nodes = common.durable(fps.groupBy("f0").agg(F.min("doc_id").alias("node")))
+    found = common.components(link(nodes, radius))
+    named = nodes.join(found, "node", "left").select("f0", F.coalesce("root", "node").alias("component_id"))
+    return fps.join(named, "f0")
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
     """Three-word shingles, XXH64 with seed 42, links at 3 or fewer differing bits: all of them are found."""
-    found = clusters(fingerprints(docs, 3, (42,)), 3, near_cells)
+    found = clusters(fingerprints(docs))
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -258,6 +198,13 @@ def _needed(a, b, similarity: float):
     return np.ceil(similarity / (1 + similarity) * (a + b) - 1e-9).astype(np.int64)
 
 
+def _set_fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a set of shingles by their hashes."""
+    at_byte = np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _COLUMN).ravel(), minlength=2048)
+    counts = at_byte.reshape(8, 256) @ _BITS
+    return int(np.packbits(counts.ravel() * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def _hashes(text: bytes, width: int) -> np.ndarray:
     """Distinct hashes of the shingles."""
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingle_set(text, width)), np.uint64)).view(np.int64)
@@ -429,27 +376,29 @@ def similar(edges: DataFrame, own: DataFrame, width: int, similarity: float) ->
 def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(row_key, doc_id, node, root) of the rows with words: node by the words, root for each set of linked nodes.
 
-    All pairs of that similarity are found: they share one of their first shingles.  Pairs of short lists and each row's
-    nearest one in long lists are decided first, twice; then all the pairs in long lists that are still apart.
+    First the SimHash grid brings together what differs in 3 bits at most, and every such link is verified by its exact
+    similarity.  SimHash alone can't find all pairs at 0.8, so what is still apart is then joined by shingles, with a
+    guarantee: two such sets share one of their first shingles.  Pairs of short lists, and each row's nearest in long
+    ones, are decided before all the pairs in long lists that are still apart.
     """
     texts = _texts(docs.where(F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
-    schema = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
+    schema = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()), ("f0", pa.int64()), ("bits", pa.binary())])
 
     def run(parts):
         for part in parts:
             own = part.column(2).to_pylist()
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(map(_node, own), pa.int64()), pa.array([_bitmap(_hashes(t, width)) for t in own], pa.binary())], schema=schema)
+            made = [(_node(t), _set_fingerprint(h), _bitmap(h)) for t in own for h in (_hashes(t, width),)]
+            columns = zip(*made) if made else ((), (), ())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, schema.types[2:]))], schema=schema)
 
-    rows = common.durable(texts.mapInArrow(run, "row_key long, doc_id long, node long, bits binary"))
+    rows = common.durable(texts.mapInArrow(run, "row_key long, doc_id long, node long, f0 long, bits binary"))
+    nodes = common.durable(rows.groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("f0").alias("f0"), F.first("bits").alias("bits")))
     share = max(1, rows.count() // _SAMPLE)
     lists = postings(texts, width, similarity, share).repartition("h").dropDuplicates(["h", "node"])
-    lists = common.durable(lists.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n"))
-    nodes = rows.join(lists.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("bits").alias("bits"))
-    nodes = common.durable(nodes)
-    lists = common.durable(lists.join(nodes.select("node", "bits"), "node"))
+    lists = common.durable(lists.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n").join(nodes.select("node", "bits"), "node"))
     links, roots = None, None
-    for every in (False, False, True):
-        pairs = common.durable(_candidates(lists, roots, similarity, every))
+    for candidates in (lambda: link(nodes).distinct(), lambda: _candidates(lists, roots, similarity, False), lambda: _candidates(lists, roots, similarity, True)):
+        pairs = common.durable(candidates())
         ends = pairs.select(F.col("u").alias("node")).unionAll(pairs.select("v")).distinct()
         own = common.durable(texts.join(nodes.join(ends, "node", "left_semi").select("node", "row_key"), "row_key").select("node", "text").dropDuplicates(["node"]))
         found = common.durable(similar(pairs, own, width, similarity))
