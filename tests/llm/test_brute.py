@@ -121,13 +121,11 @@ def _mcd(groups):
     def moments(x):
         return len(x), x.mean(0), np.cov(x.T, bias=True)
 
-    def pooled(kept, narrowed):
-        over_all = moments(np.concatenate(list(kept.values())))
+    def pooled(kept):
         out = {}
         for g, x in kept.items():
-            wide = drawn(moments(np.concatenate([y for h, y in kept.items() if groups[h][0] == groups[g][0]])), over_all)
-            _, m, c = drawn(moments(x), wide)
-            out[g] = (m, c / narrowed + floor)
+            _, m, c = drawn(moments(x), moments(np.concatenate([y for h, y in kept.items() if groups[h][0] == groups[g][0]])))
+            out[g] = (m, c / quality.NARROWED + floor)
         return out
 
     def far(x, m, c):
@@ -138,20 +136,21 @@ def _mcd(groups):
         for g, x in values.items():
             bins = np.floor(np.log2(far(x, *found[g]) + 1e-6) * 16)
             kept[g] = x[[(bins < b).sum() < quality.SUPPORT * len(x) for b in bins]]
-        return pooled(kept, quality.NARROWED)
+        return pooled(kept)
 
-    def middle(v):
-        return np.sort(v)[(len(v) - 1) // 2]
+    def at(v, share):
+        return np.sort(v)[int(np.ceil(share * len(v))) - 1]
 
-    starts = [pooled(values, 1.0), {}, {}]
+    tries = [{}, {}, {}]
     for g, x in values.items():
         coarse = (np.floor(x * 16) + 0.5) / 16
-        centre = np.array([middle(coarse[:, i]) for i in range(k)])
-        spread = np.array([1.4826 * middle(np.abs(coarse[:, i] - centre[i])) for i in range(k)])
-        starts[1][g], starts[2][g] = (centre, np.diag(spread**2) + floor), (centre, floor)
+        centre, low, high = (np.array([at(coarse[:, i], q) for i in range(k)]) for q in (0.5, 0.25, 0.75))
+        spread = np.array([1.4826 * at(np.abs(coarse[:, i] - centre[i]), 0.5) for i in range(k)])
+        tries[0][g], tries[1][g] = (centre, np.diag(spread**2) + floor), (centre, floor)
+        tries[2][g] = ((low + high) / 2, np.diag(((high - low) / 1.349) ** 2) + floor)
     for _ in range(quality.FIRST_STEPS):
-        starts = [step(s) for s in starts]
-    found = {g: min((s[g] for s in starts), key=lambda e: np.linalg.slogdet(e[1])[1]) for g in groups}
+        tries = [step(s) for s in tries]
+    found = {g: min((s[g] for s in tries), key=lambda e: np.linalg.slogdet(e[1])[1]) for g in groups}
     for _ in range(quality.STEPS):
         found = step(found)
     return {g: far(values[g], *found[g]) for g in groups}

@@ -4,8 +4,8 @@ Statistic vectors are transformed to tame their tails.  For each (lang, source)
 estimate is made over all its rows: from several starts, concentration steps (distances, the share of smallest ones, their
 mean and covariance) go down to smaller determinants; the start with the least one goes on.  A step is one grouped sum
 over bins of distance, so no group is ever held in one task.  Sums are over integers, so the result doesn't depend on
-the order of rows.  A group's estimate is drawn towards its language's, and that one towards all rows', with the weight
-of PRIOR rows: the same rule for groups of every size.
+the order of rows.  A group's estimate is drawn towards its language's with the weight of PRIOR rows: the same rule for
+groups of every size.
 
 Defined results: a null or empty text has no words and fails the base rules; very long texts are measured whole; null
 lang or source are groups of their own; equal rows and ties get equal verdicts; an empty table gives no rows; extra
@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import common
 
@@ -34,7 +33,7 @@ UNIT = 1024
 LEAST_SPREAD = (0.9, 0.08, 0.06, 0.25, 0.12, 0.08, 0.08)
 #: Share of rows that an estimate rests on, steps of all starts and of the best one, rows that a wider group's estimate
 #: weighs, the covariance of that share of a normal distribution against the whole one's, and the distance beyond which a row is out.
-SUPPORT, FIRST_STEPS, STEPS, PRIOR, NARROWED, CUTOFF = 0.6, 2, 4, 100, 0.65, 6.0
+SUPPORT, FIRST_STEPS, STEPS, PRIOR, NARROWED, CUTOFF = 0.6, 2, 2, 100, 0.65, 6.0
 #: Above it repeated words are found by numbers; the result is the same.
 _WIDE = 50_000
 
@@ -145,10 +144,9 @@ def shape(mean: np.ndarray, cov: np.ndarray) -> tuple[list, list, float]:
 _ESTIMATE = "grp string, start int, mean array<double>, root array<double>, det double"
 
 
-def _estimates(sums: DataFrame, narrowed: float) -> DataFrame:
+def _estimates(sums: DataFrame) -> DataFrame:
     """(grp, start, mean, root, det) from each group's sums (grp, wide, start, _SUMS)."""
     per_lang = sums.groupBy("wide", "start").agg(*(F.sum(c).alias(f"l{c}") for c in _SUMS))
-    over_all = sums.groupBy("start").agg(*(F.sum(c).alias(f"a{c}") for c in _SUMS))
 
     def run(frames):
         import pandas as pd
@@ -156,12 +154,11 @@ def _estimates(sums: DataFrame, narrowed: float) -> DataFrame:
         for frame in frames:
             out = []
             for row in frame.to_dict("records"):
-                wide = _drawn(_unpacked(row, "l"), _unpacked(row, "a"))
-                _, mean, cov = _drawn(_unpacked(row, ""), wide)
-                out.append((row["grp"], row["start"], *shape(mean, cov / narrowed)))
+                _, mean, cov = _drawn(_unpacked(row, ""), _unpacked(row, "l"))
+                out.append((row["grp"], row["start"], *shape(mean, cov / NARROWED)))
             yield pd.DataFrame(out, columns=["grp", "start", "mean", "root", "det"])
 
-    return sums.join(per_lang, ["wide", "start"]).join(over_all, "start").mapInPandas(run, _ESTIMATE)
+    return sums.join(per_lang, ["wide", "start"]).mapInPandas(run, _ESTIMATE)
 
 
 def _distance(mean, root) -> F.Column:
@@ -176,32 +173,40 @@ def _distance(mean, root) -> F.Column:
     return total
 
 
-def _starts(rows: DataFrame) -> DataFrame:
-    """Three estimates of each group: of all its rows; by medians and their deviations; around medians with the least spread.
+def starts(bins: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Centres and diagonal spreads to start from, by one histogram (values in order, counts) of each feature.
 
-    Medians are read off histograms of 1/16 units.
+    Medians with their absolute deviations; medians with no spread but the least; middles of the quartiles with theirs.
     """
-    whole = _estimates(rows.groupBy("grp", "wide").agg(*_moments()).withColumn("start", F.lit(0)), 1.0)
+
+    def at(values, counts, share):
+        return float(values[np.searchsorted(np.cumsum(counts), share * counts.sum())])
+
+    centre, spread, middle, range_ = (np.zeros(_K) for _ in range(4))
+    for i, (values, counts) in enumerate(bins):
+        centre[i] = at(values, counts, 0.5)
+        off = np.abs(values - centre[i])
+        order = np.argsort(off, kind="stable")
+        spread[i] = 1.4826 * at(off[order], counts[order], 0.5)
+        low, high = at(values, counts, 0.25), at(values, counts, 0.75)
+        middle[i], range_[i] = (low + high) / 2, (high - low) / 1.349
+    return [(centre, spread), (centre, np.zeros(_K)), (middle, range_)]
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Several first estimates of each group, from histograms of 1/16 units."""
     values = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.floor(F.col(f) / (UNIT // 16)).cast("int").alias("bin")) for i, f in enumerate(FEATURES)))).alias("x")
     bins = rows.select("grp", values).groupBy("grp", "x.i", "x.bin").agg(F.count("*").alias("n"))
-    held = bins.groupBy("grp", "i").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("h"))  # some hundred bins
 
-    def middle(bins: np.ndarray, n: np.ndarray) -> float:
-        order = np.argsort(bins, kind="stable")
-        return float(bins[order][np.searchsorted(np.cumsum(n[order]) * 2, n.sum())])
-
-    def run(_, frame):
+    def run(frame):
         import pandas as pd
 
-        centre, spread = np.zeros(_K), np.zeros(_K)
-        for i, h in zip(frame["i"], frame["h"]):
-            at, n = np.array([(x["bin"] + 0.5) / 16 for x in h]), np.array([x["n"] for x in h])
-            centre[i] = middle(at, n)
-            spread[i] = 1.4826 * middle(np.abs(at - centre[i]), n)
-        grp = frame["grp"].iloc[0]
-        return pd.DataFrame([(grp, k, *shape(centre, np.diag(spread**2 * (k == 1)))) for k in (1, 2)], columns=["grp", "start", "mean", "root", "det"])
+        frame = frame.sort_values(["i", "bin"])
+        held = [((x["bin"].to_numpy() + 0.5) / 16, x["n"].to_numpy()) for _, x in frame.groupby("i")]
+        found = [(frame["grp"].iloc[0], k, *shape(centre, np.diag(spread**2))) for k, (centre, spread) in enumerate(starts(held))]
+        return pd.DataFrame(found, columns=["grp", "start", "mean", "root", "det"])
 
-    return whole.unionByName(held.groupBy("grp").applyInPandas(run, _ESTIMATE))
+    return bins.groupBy("grp").applyInPandas(run, _ESTIMATE)  # some thousand bins a group
 
 
 def _step(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -210,10 +215,20 @@ def _step(rows: DataFrame, found: DataFrame) -> DataFrame:
     each = rows.join(tried, "grp").select("grp", "wide", *FEATURES, F.explode("tried").alias("t"))
     each = each.select("grp", "wide", *FEATURES, F.col("t.start").alias("start"), F.floor(F.log2(_distance(F.col("t.mean"), F.col("t.root")) + 1e-6) * 16).cast("int").alias("bin"))
     bins = each.groupBy("grp", "wide", "start", "bin").agg(*_moments())
-    group = Window.partitionBy("grp", "wide", "start")  # a row a bin
-    before = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
-    near = bins.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn("_all", F.sum("n").over(group)).where(F.col("_before") < F.col("_all") * SUPPORT)
-    return _estimates(near.groupBy("grp", "wide", "start").agg(*(F.sum(c).alias(c) for c in _SUMS)), NARROWED)
+
+    def run(frame):
+        import pandas as pd
+
+        out = []
+        for start, own in frame.groupby("start"):
+            own = own.sort_values("bin")
+            before = own["n"].cumsum() - own["n"]
+            near = own[before < own["n"].sum() * SUPPORT]
+            out.append((own["grp"].iloc[0], own["wide"].iloc[0], start, *(sum(map(int, near[c])) for c in _SUMS)))
+        return pd.DataFrame(out, columns=["grp", "wide", "start", *_SUMS])
+
+    kept = bins.groupBy("grp").applyInPandas(run, "grp string, wide string, start int, " + ", ".join(f"{c} long" for c in _SUMS))  # some hundred bins
+    return _estimates(kept)
 
 
 def estimate(rows: DataFrame) -> DataFrame:
