@@ -75,7 +75,7 @@ class Encoder:
         for c in newer:
             low = c.translate(self.lowers)
             self.stand_in[ord(low)] = "a" if len(split("a" + low)) == 1 else "1" if len(split(low + low)) == 2 else "~"
-        self.newer = regex.compile(f"[{''.join(map(regex.escape, {*newer, *map(chr, self.stand_in)}))}]")
+        self.newer = frozenset(newer) | set(map(chr, self.stand_in))
 
     def chunks(self, text: str):
         """Lists of chunks, and between them the ids of special tokens that the text names."""
@@ -93,7 +93,7 @@ class Encoder:
             chunk = chunk.lower()
         else:
             chunk = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
-            if self.newer.search(chunk):
+            if not self.newer.isdisjoint(chunk):
                 chunk = chunk.translate(self.lowers)
                 words = [chunk[slice(*m.span())] for m in self.words.finditer(chunk.translate(self.stand_in))]
                 return [x for word in words for x in self.word_ids(word)]
