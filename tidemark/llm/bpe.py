@@ -26,6 +26,8 @@ from . import common
 
 #: White space as Unicode has it; str.split() also cuts at the four separators below.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Unicode takes no new code points before it.
+_GROWING = "\u0370"
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: Bytes that a worker remembers of chunks and of words, about, and the longest of either; the rest is encoded again.
 CHUNK_BYTES, WORD_BYTES, LONGEST = 256 << 20, 64 << 20, 128
@@ -57,17 +59,17 @@ class Encoder:
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern.replace(r"\s", _SPACE))
         self.letters = byte_letters()
-        self._newer(path)
+        self.path, self.newer = path, None
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.split_space = regex.compile(f"[{_SPACE}]+")
         self.known: dict[str, tuple[int, ...]] = {}
         self.held = 0
 
-    def _newer(self, path: str) -> None:
-        """stand_in: a code point of the same class for each one that is newer than unicodedata; lowers: their lower case."""
+    def _learn_newer(self) -> None:
+        """newer: code points newer than unicodedata that are letters or digits; stand_in: a code point of the same class for each one that is newer than unicodedata; lowers: their lower case."""
         from tokenizers import Tokenizer
 
-        whole, known = Tokenizer.from_file(path), regex.compile(r"[\p{L}\p{N}]")
+        whole, known = Tokenizer.from_file(self.path), regex.compile(r"[\p{L}\p{N}]")
         newer = [c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Cn" and known.match(c)]
         split, lower = whole.pre_tokenizer.pre_tokenize_str, whole.normalizer.normalize_str
         self.lowers = {ord(c): x for c in newer if (x := lower(c)) != c}
@@ -93,7 +95,9 @@ class Encoder:
             chunk = chunk.lower()
         else:
             chunk = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
-            if not self.newer.isdisjoint(chunk):
+            if self.newer is None and max(chunk) >= _GROWING:
+                self._learn_newer()
+            if self.newer and not self.newer.isdisjoint(chunk):
                 chunk = chunk.translate(self.lowers)
                 words = [chunk[slice(*m.span())] for m in self.words.finditer(chunk.translate(self.stand_in))]
                 return [x for word in words for x in self.word_ids(word)]
