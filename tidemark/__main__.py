@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import argparse
 import logging
+import os
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
+from tidemark.functions import codec
 from tidemark.plans import notify, settings
 from tidemark.plans.registry import Field, TableSpec
 from tidemark.sources import feed, snapshot
@@ -21,6 +24,8 @@ from tidemark.streaming.ingest import Ingest, start
 from tidemark.streaming.store import LogStore
 
 log = logging.getLogger("tidemark")
+#: Client pages of the settings' batch_rows that one range of a snapshot takes.
+PAGES = 1000
 
 
 def spec_of(name: str, schema, key=None) -> TableSpec:
@@ -28,16 +33,26 @@ def spec_of(name: str, schema, key=None) -> TableSpec:
     return TableSpec(name, fields, tuple(key or (("id",) if "id" in schema.names else ())))
 
 
-def copy_tables(spark: SparkSession, s: settings.Settings, store: LogStore, names: list[str]) -> list[str]:
-    """Copy tables side by side; the names of those that failed."""
-    state, version = settings.State(s.state_file), time.time_ns()
+def copy_tables(spark: SparkSession, s: settings.Settings, store: LogStore, names: list[str], after: int | None = None) -> list[str]:
+    """Copy tables side by side, each from where it stopped; the names of those that failed.
+
+    All rows of a copy have one version, set down when it began; `after` is the feed's place at that time.
+    """
+    state, lock = settings.State(s.state_file), threading.Lock()
 
     def copy(name: str) -> str | None:
-        if state.table(name)["status"] == "done":
+        own = state.table(name)
+        if own["status"] == "done":
             return None
         try:
-            rows = snapshot.as_log(spark.read.parquet(f"{s.mysql.database}/{name}.parquet"), version)
-            store.write(rows, name, 0, 0)
+            version = state.begin(name, time.time_ns())
+            rows = spark.read.parquet(f"{s.mysql.database}/{name}.parquet")
+            spec = spec_of(name, rows.schema)
+            path = f"{store.root}/snapshots/{name}/{version}"
+            plan = snapshot.strategy(rows.schema, list(spec.key))
+            snapshot.copied(rows, plan, version, path, s.migration.batch_rows * PAGES, own["last_pk"], lambda last, n: state.progress(name, n, last))
+            with lock:  # the manifest is one document
+                store.put_base(name, spec, path, version, after=after)
             state.progress(name, done=True)
             return None
         except Exception:
@@ -67,27 +82,38 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if sender:
         sender.started({"mode": s.migration.mode, "path": s.clickhouse.path}, s.migration.mode)
     store = LogStore(spark, s.clickhouse.path)
-    tables = snapshot.discover(list(s.mysql.include_tables), s.mysql.include_tables, s.mysql.exclude_tables)
-    specs = [spec_of(n, spark.read.parquet(f"{s.mysql.database}/{n}.parquet").schema) for n in tables]
-    if s.migration.mode == "snapshot" or s.migration.cdc.snapshot_before and not store.entries():
-        if failed := copy_tables(spark, s, store, tables):
+    tables = snapshot.discover(snapshot.tables_in(spark, s.mysql.database), s.mysql.include_tables, s.mysql.exclude_tables)
+    state, cdc = settings.State(s.state_file), s.migration.cdc
+    if s.migration.mode == "snapshot" or cdc.snapshot_before and store.last()["n"] < 0 or state.unfinished():
+        after = None
+        if s.migration.mode == "cdc":  # what the feed holds by now is in the snapshot
+            after = state.hand_over(lambda: feed.last_position(spark, cdc.path))
+        if failed := copy_tables(spark, s, store, tables, after):
             log.error("snapshots failed: %s", ", ".join(failed))
+            if sender:
+                sender.error("snapshot", ", ".join(failed), "tables weren't copied")
             return control.SNAPSHOT_FAILED
-        from tidemark.plans.registry import Registry
-
-        store.commit({"batch_id": 0, "base": 0, "last": time.time_ns(), "registry": Registry(specs).to_json(), "storage": {n: n for n in tables}, "hidden_to": {}})
         if s.migration.mode == "snapshot":
             return control.OK
     tell = (lambda table, n: sender.warning("quarantine", table, f"{n} rows set aside")) if sender else None
-    ingest = Ingest(store, specs, s.mysql.include_tables or None, s.mysql.exclude_tables or None, on_bad=tell)
+    schemas = [os.path.basename(s.mysql.database.rstrip("/"))] if s.mysql.database else None
+    ingest = Ingest(store, (), s.mysql.include_tables or None, s.mysql.exclude_tables or None, schemas, on_bad=tell)
+    if sender:
+        control.watch(spark, lambda query, error: sender.error("query", query, codec.first_line(error)))
 
-    def begin(checkpoint: str):
-        events = feed.stream(spark, s.migration.cdc.path, files_per_batch=s.migration.cdc.files_per_batch)
-        return start(events, lambda df, i: ingest(df, i + 1), checkpoint, None if args.once else f"{s.migration.cdc.producer_flush_interval} seconds")
+    def begin(checkpoint: str, position: tuple[str, int] | None):
+        events = feed.stream(spark, cdc.path, files_per_batch=cdc.files_per_batch)
+        if position is not None:
+            events = feed.since(events, *position)
+        return start(events, ingest, checkpoint, None if args.once else f"{cdc.producer_flush_interval} seconds")
 
     runner = control.Controller(begin, f"{s.clickhouse.path}/checkpoint", store.reset)
+    forced = control.parse_position(cdc.force_binlog_position) if cdc.force_binlog_position else None
+    handed = state.get()["binlog"] if not store.last()["streams"] else None  # a checkpoint knows its own place
+    if forced:
+        runner.checkpoint = f"{runner.checkpoint}-{forced[0]}-{forced[1]}"
     runner.listen()
-    code = runner.run()
+    code = runner.run(control.start_position(forced, saved=handed and (handed["file"], handed["pos"])))
     if sender:
         sender.stopped("Normal shutdown" if code == control.OK else "the query died")
     return code

@@ -6,9 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Stands for NULL where rows are hashed or written as text, so that NULL, '' and a missing column differ.
-NULL_MARK = "\\N"
-
 
 def base64_text(c: Column) -> Column:
     """Base64 in one line, whatever the session's line length is."""
@@ -80,12 +77,10 @@ def decode(c: Column, kind: T.DataType) -> Column:
     return c.try_cast(kind.simpleString())
 
 
-def null_safe(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(NULL_MARK))
-
-
-def row_text(*columns: Column, separator: str = "|") -> Column:
-    return F.concat_ws(separator, *map(null_safe, columns))
+def row_text(*columns: Column) -> Column:
+    """A text that only equal rows share: each value behind its length, NULL as a mark that no length looks like."""
+    texts = [c.cast("string") for c in columns]
+    return F.concat(*(F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts))
 
 
 def row_key(*columns: Column) -> Column:
@@ -150,6 +145,11 @@ TRANSIENT = (
 )
 
 
+def first_line(message) -> str:
+    lines = str(message).strip().splitlines()
+    return lines[0] if lines else ""
+
+
 def is_transient(message: Column) -> Column:
     return F.lower(message).rlike("|".join(TRANSIENT))
 

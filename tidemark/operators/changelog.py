@@ -26,14 +26,6 @@ def exploded(events: DataFrame) -> DataFrame:
     return flat.withColumn("image", changed).drop("rows", "row")
 
 
-def versions(rows: DataFrame, order: list, base: int) -> DataFrame:
-    """rows with a version that rises with order: base plus the row's place among range partitions.
-
-    No window: sorted range partitions number their own rows, and the numbers of later partitions are larger.
-    """
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(VERSION, F.lit(base) + F.monotonically_increasing_id())
-
-
 def raw_columns(spec: TableSpec) -> list[Column]:
     """The image's text of each column; columns that the event lacks are NULL, others are dropped."""
     return [F.try_element_at("image", F.lit(f.name)).alias(f"_raw_{i}") for i, f in enumerate(spec.fields)]

@@ -1,7 +1,8 @@
 """Order-dependent operators without a single-task window.
 
 Rows fall into buckets by a coarse function of their order.  Numbers, sums and predecessors are found inside each
-bucket, and a table of one row per bucket carries them over from bucket to bucket.
+bucket, and a table of one row per bucket carries them over from bucket to bucket.  balanced() makes buckets of bounded
+size from fine cells of the order, so that no stretch of it becomes one task.
 """
 
 from __future__ import annotations
@@ -10,6 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions import codec
+
+
+def balanced(df: DataFrame, cell: Column, size: int = 1 << 20, name: str = "bucket") -> DataFrame:
+    """df with the number of its bucket: neighbouring cells of the order together, up to about `size` rows."""
+    rows = df.withColumn("_cell", cell)
+    counts = rows.groupBy("_cell").agg(F.count("*").alias("_n"))  # a row a cell
+    before = F.sum("_n").over(Window.orderBy(F.col("_cell").asc_nulls_first())) - F.col("_n")
+    named = counts.select(F.col("_cell").alias("_c"), F.floor(before / size).cast("long").alias(name))
+    return rows.join(named, F.col("_cell").eqNullSafe(F.col("_c"))).drop("_cell", "_c")
+
 
 def running_sum(df: DataFrame, bucket: Column, order: list, value: Column, name: str) -> DataFrame:
     """df with the sum of value over all rows up to and with this one."""
@@ -47,6 +59,18 @@ def segments(df: DataFrame, bucket: Column, order: list, is_barrier: Column, nam
     return running_sum(df, bucket, order, F.when(is_barrier, 1).otherwise(0), name)
 
 
+def merged(df: DataFrame, bucket: Column, order: list, keys: list[str], text: Column, limit: int | None = None) -> DataFrame:
+    """Runs of rows with equal keys in order as one row each: island, keys, n, first, last, and their texts joined.
+
+    A run's texts are one row's worth: `limit`, where it is given, cuts what is shown of them.
+    """
+    cut = islands(df.withColumn("_text", text), bucket, order, F.struct(*keys))
+    at = F.struct(*order)
+    lines = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, "_text"))), lambda x: x["_text"]), ",")
+    shown = codec.shortened(lines, limit) if limit else lines
+    return cut.groupBy("island", *keys).agg(F.count("*").alias("n"), F.min(at).alias("first"), F.max(at).alias("last"), shown.alias("texts"))
+
+
 def islands(df: DataFrame, bucket: Column, order: list, key: Column, name: str = "island") -> DataFrame:
     """df with the number of its run of equal keys in order."""
     marked = previous(df, bucket, order, F.struct(key.alias("k")), "_prior").withColumn("_key", F.struct(key.alias("k")))

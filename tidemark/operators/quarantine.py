@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import codec
 from tidemark.plans.registry import TableSpec
 
 REASON_LENGTH = 2000
@@ -22,6 +23,16 @@ def reason(spec: TableSpec) -> Column:
     return F.when(text != "", F.substring(text, 1, REASON_LENGTH))
 
 
+def image_reason(spec: TableSpec) -> Column:
+    """The same of a row image whose values aren't typed yet."""
+    parts = []
+    for f in spec.fields:
+        raw = F.try_element_at("image", F.lit(f.name))
+        parts.append(F.when(failed(raw, codec.decode(raw, f.type)), F.concat(F.lit(f"{f.name}: not {f.kind}: "), raw)))
+    text = F.concat_ws("; ", *parts)
+    return F.when(text != "", F.substring(text, 1, REASON_LENGTH))
+
+
 def split(typed: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     """(good, bad) of typed rows: bad ones carry error_reason and the text of every column."""
     raw = [f"_raw_{i}" for i in range(len(spec.fields))]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import codec
@@ -30,10 +30,15 @@ def checksum(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(bits.cast("decimal(38,0)").alias("bits")).agg(F.count("*").alias("n"), F.sum("bits").cast("string").alias("total"))
 
 
-def ordered_checksum(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
-    """md5 of the rows' texts in order, one line each.  Holds the table in one row: for tables of a checked size."""
-    lines = F.sort_array(F.collect_list(F.struct(*order, codec.row_text(*(F.col(c) for c in columns)).alias("_line"))))
-    return df.agg(F.md5(F.array_join(F.transform(lines, lambda x: x["_line"]), "\n")).alias("checksum"))
+def ordered_checksum(df: DataFrame, columns: list[str], order: list[str], part: Column) -> DataFrame:
+    """md5 over the md5s of parts in order, each of its rows' md5s in order.
+
+    part is a coarse function of the order: no part may be larger than a task holds, and of a part only its hash goes on.
+    """
+    lines = F.sort_array(F.collect_list(F.struct(*order, F.md5(codec.row_text(*(F.col(c) for c in columns))).alias("_line"))))
+    parts = df.groupBy(part.alias("_part")).agg(F.md5(F.array_join(F.transform(lines, lambda x: x["_line"]), "")).alias("_sum"))
+    sums = F.sort_array(F.collect_list(F.struct("_part", "_sum")))
+    return parts.agg(F.md5(F.array_join(F.transform(sums, lambda x: x["_sum"]), "")).alias("checksum"))
 
 
 def summary(source: DataFrame, target: DataFrame, key: list[str], columns: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import codec
 from tidemark.plans.registry import Registry, TableSpec
 
+log = logging.getLogger(__name__)
+
 _COMMENT = re.compile(r"\s*(?:--[^\n]*(?:\n|\Z)|#[^\n]*(?:\n|\Z)|/\*.*?(?:\*/|\Z))", re.S)
 _PART = r"(?:`(?:[^`]|``)+`|\"[^\"]+\"|[\w$]+)"
 _NAME = re.compile(rf"\s*({_PART})(?:\s*\.\s*({_PART}))?", re.S)
@@ -29,11 +32,19 @@ TRANSACTION = ("begin", "commit", "rollback", "xa start", "xa end", "xa prepare"
 
 @dataclass(frozen=True)
 class Change:
-    """kind is None for a statement that isn't recognised; pairs are (old, new) names."""
+    """kind is None for a statement that isn't recognised; pairs are (old, new) names; owners the tables' schemas, if named."""
 
     kind: str | None
     tables: tuple[str, ...] = ()
     pairs: tuple[tuple[str, str], ...] = ()
+    owners: tuple[str | None, ...] = ()
+
+    def inside(self, schema: str | None, schemas: Iterable[str] | None) -> Change:
+        """Only the tables of those schemas; one that names none is in the statement's own."""
+        if not schemas:
+            return self
+        kept = [i for i, owner in enumerate(self.owners) if (owner or schema) in schemas]
+        return Change(self.kind, tuple(self.tables[i] for i in kept), tuple(self.pairs[i] for i in kept) if self.pairs else (), tuple(self.owners[i] for i in kept))
 
 
 def strip_comments(statement: str | None) -> str:
@@ -47,11 +58,12 @@ def _bare(part: str) -> str:
     return part[1:-1].replace("``", "`") if part[0] in "`\"" else part
 
 
-def _names(text: str) -> list[str]:
+def _names(text: str) -> list[tuple[str, str | None]]:
+    """(table, its schema if named) of each part."""
     found = []
     for part in text.split(";")[0].split(","):
         if m := _NAME.match(part):
-            found.append(_bare(m[2] or m[1]))
+            found.append((_bare(m[2] or m[1]), _bare(m[1]) if m[2] else None))
     return found
 
 
@@ -63,16 +75,18 @@ def parse(statement: str | None) -> Change:
             continue
         rest = text[m.end() :]
         if kind == "rename":
-            pairs = []
+            pairs, owners = [], []
             for part in rest.split(";")[0].split(","):
                 old, to, new = re.split(r"(\s+to\s+)", part.strip(), maxsplit=1, flags=re.I) if re.search(r"\sto\s", part, re.I) else (part, "", "")
                 if to and _names(old) and _names(new):
-                    pairs.append((_names(old)[0], _names(new)[0]))
-            return Change(kind, tuple(o for o, _ in pairs), tuple(pairs))
+                    pairs.append((_names(old)[0][0], _names(new)[0][0]))
+                    owners.append(_names(old)[0][1])
+            return Change(kind, tuple(o for o, _ in pairs), tuple(pairs), tuple(owners))
         if kind == "drop":
-            return Change(kind, tuple(_names(re.sub(r"\s+(?:restrict|cascade)\s*$", "", rest.split(";")[0], flags=re.I))))
-        if m2 := _NAME.match(rest):
-            return Change(kind, (_bare(m2[2] or m2[1]),))
+            found = _names(re.sub(r"\s+(?:restrict|cascade)\s*$", "", rest.split(";")[0], flags=re.I))
+            return Change(kind, tuple(t for t, _ in found), (), tuple(o for _, o in found))
+        if found := _names(rest)[:1]:
+            return Change(kind, (found[0][0],), (), (found[0][1],))
     return Change(None)
 
 
@@ -106,7 +120,10 @@ def apply(change: Change, registry: Registry, allowed: Callable[[str], bool], co
         return actions
     for table in filter(allowed, change.tables):
         if change.kind == "create" and table not in registry and columns is not None:
-            registry.put(TableSpec.from_columns(table, columns(table)))
+            if given := list(columns(table)):
+                registry.put(TableSpec.from_columns(table, given))
+            else:
+                log.warning("no columns came with the statement that makes table %s", table)
         elif change.kind == "alter" and table in registry and columns is not None:
             registry.put(registry[table].evolve(columns(table), at))
         elif change.kind == "drop":

@@ -56,9 +56,11 @@ def current(log: DataFrame, spec: TableSpec) -> DataFrame:
     return active(shown, spec.key_columns())
 
 
-def compact(log: DataFrame, key: list, path: str, parts: int | None = None) -> DataFrame:
-    """Write the latest rows, tombstones included, dealt and sorted by key, and read them back."""
+def compact(log: DataFrame, key: list, path: str) -> DataFrame:
+    """Write the latest rows, tombstones included, sorted by key inside files, to a new path, and read them back.
+
+    latest() deals rows by key already, so the write needs no shuffle of its own.
+    """
     kept = latest(log, key)
-    kept = kept.repartition(parts, *key) if parts else kept.repartition(*key)
-    kept.sortWithinPartitions(*key).write.mode("overwrite").parquet(path)
+    kept.sortWithinPartitions(*key).write.parquet(path)
     return log.sparkSession.read.schema(kept.schema).parquet(path)

@@ -99,8 +99,11 @@ class TableSpec:
         return f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(lines)}) ENGINE = {engine or kind} ORDER BY ({', '.join(order)})"
 
     def view(self, log: DataFrame) -> DataFrame:
-        """The log under today's schema: columns added later take their default in rows written before."""
-        out = []
+        """The log under today's schema: columns added later take their default in rows of before.
+
+        Before and after are the feed's order where the log has it: a replay gives rows newer versions, not newer places.
+        """
+        order, out = F.col("seq" if "seq" in log.columns else VERSION), []
         for f in self.fields:
             if f.name in self.hidden:
                 continue
@@ -109,7 +112,7 @@ class TableSpec:
             else:
                 c = F.col(types.quote(f.name)).cast(f.type)
             if f.default is not None and f.added_at:
-                c = F.when(F.col(VERSION) < f.added_at, F.coalesce(c, F.expr(f.default))).otherwise(c)
+                c = F.when(order < f.added_at, F.coalesce(c, F.expr(f.default))).otherwise(c)
             out.append(c.alias(f.name))
         rest = [F.col(n) for n in (VERSION, DELETED, "seq") if n in log.columns]
         return log.select(*out, *rest)

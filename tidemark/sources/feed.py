@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +43,15 @@ def stream(spark: SparkSession, path: str, kind: str = "json", files_per_batch:
     return reader.load(path)
 
 
+def last_position(spark: SparkSession, path: str, kind: str = "json") -> dict | None:
+    """The last event that a feed holds: seq, file, pos."""
+    try:
+        found = read(spark, path, kind).agg(F.max_by(F.struct("seq", "file", "pos"), "seq").alias("x")).select("x.*").first()
+    except AnalysisException:  # there is no feed yet
+        return None
+    return found.asDict() if found and found["seq"] is not None else None
+
+
 def allowed_name(name: str | None, include: list[str] | None = None, exclude: list[str] | None = None) -> bool:
     return bool(name) and (not include or name in include) and name not in (exclude or ())
 
@@ -61,21 +71,16 @@ def row_events(events: DataFrame, include=None, exclude=None, schemas: list[str]
     return kept.where(F.col("schema").isin(*schemas)) if schemas else kept
 
 
+def since(events: DataFrame, file: str, pos: int) -> DataFrame:
+    """Events at a log position or behind it."""
+    return events.where(codec.position_key(F.col("file"), F.col("pos")) >= codec.position_key(F.lit(file), F.lit(pos)))
+
+
 def statements(events: DataFrame) -> DataFrame:
     """Schema statements, without those that only frame transactions."""
     return events.where((F.col("type") == QUERY) & ~schema_change.transaction_column(F.col("query")))
 
 
-def unknown_tables(events: DataFrame, known: list[str]) -> DataFrame:
-    """Row events of tables that aren't registered: for the quarantine, not dropped."""
-    return events.where(F.col("type").isin(INSERT, UPDATE, DELETE) & ~F.coalesce(F.col("table").isin(*known), F.lit(False))) if known else events.where(F.col("type").isin(INSERT, UPDATE, DELETE))
-
-
-def order() -> list[Column]:
-    """The source's own order: log position, then place in the feed."""
-    return [codec.position_key(F.col("file"), F.col("pos")), F.col("seq"), F.col("ordinal")]
-
-
 def full_images(events: DataFrame) -> DataFrame:
     """Precondition: updates and deletes that lack their row image."""
     lacking = F.exists("rows", lambda r: F.when(F.col("type") == UPDATE, F.coalesce(F.size(r["after_values"]), F.lit(-1)) + F.coalesce(F.size(r["values"]), F.lit(-1)) <= -2).otherwise(F.coalesce(F.size(r["values"]), F.lit(-1)) < 0))

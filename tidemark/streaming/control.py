@@ -52,11 +52,12 @@ class Watch(StreamingQueryListener):
 class Controller:
     """Signals only set flags; the loop in run() acts on them."""
 
-    def __init__(self, begin: Callable[[str], StreamingQuery], checkpoint: str, reset: Callable[[], None] | None = None, poll: float = 0.5):
+    def __init__(self, begin: Callable[[str, tuple[str, int] | None], StreamingQuery], checkpoint: str, reset: Callable[[], None] | None = None, poll: float = 0.5):
+        """begin(checkpoint, position): starts the query, from a log position if one is given."""
         self.begin, self.checkpoint, self.clear, self.poll = begin, checkpoint, reset, poll
         self.query: StreamingQuery | None = None
         self.wants_stop = self.wants_reset = False
-        self.wants_position: str | None = None
+        self.wants_position: tuple[str, int] | None = None
 
     def listen(self) -> None:
         signal.signal(signal.SIGTERM, lambda *_: self.stop())
@@ -70,16 +71,15 @@ class Controller:
         self.wants_reset = True
 
     def reposition(self, position: str) -> None:
-        file, pos = parse_position(position)
-        self.wants_position = f"{file}-{pos}"
+        self.wants_position = parse_position(position)
 
     def status(self) -> dict:
         progress = self.query.lastProgress if self.query else None
         return {"active": bool(self.query and self.query.isActive), "progress": progress}
 
-    def run(self) -> int:
+    def run(self, position: tuple[str, int] | None = None) -> int:
         """0 when stopped, reset or out of work; 1 if the query failed."""
-        self.query = self.begin(self.checkpoint)
+        self.query = self.begin(self.checkpoint, position)
         while True:
             if self.wants_stop or self.wants_reset:
                 self.query.stop()
@@ -88,8 +88,9 @@ class Controller:
                 return OK
             if self.wants_position is not None:
                 self.query.stop()
-                self.checkpoint, self.wants_position = f"{self.checkpoint}-{self.wants_position}", None
-                self.query = self.begin(self.checkpoint)
+                (file, pos), self.wants_position = self.wants_position, None
+                self.checkpoint = f"{self.checkpoint}-{file}-{pos}-{time.time_ns()}"  # a new query reads all files again
+                self.query = self.begin(self.checkpoint, (file, pos))
             if not self.query.isActive:
                 return STAGE_DIED if self.query.exception() else OK
             time.sleep(self.poll)

@@ -1,97 +1,163 @@
-"""Where versioned logs live: one folder per table and batch, a manifest of batches, and a quarantine.
+"""Where versioned logs live: a journal of batches, typed bases of compacted tables, and a numbered manifest.
 
-Everything is written through Spark, so the root may be in any store Spark reaches.  A batch's folders are overwritten
-whole when it runs again, and count only once its manifest entry is there.
+A batch is written once, whatever the number of its tables, dealt into folders by storage id; a storage id is given to
+every CREATE anew, so a table never reads rows of another one that once had its name.  Everything goes through Spark or
+Hadoop's file systems, so the root may be in any store Spark reaches.  A batch's folder is overwritten whole when it runs
+again, and counts only once a manifest names it.
 """
 
 from __future__ import annotations
 
 import json
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tidemark.plans.registry import VERSION, Registry
+from pyspark.sql import types as T
+
+from tidemark.operators import changelog, state
+from tidemark.plans.registry import DELETED, VERSION, Registry, TableSpec
+
+IMAGE = T.MapType(T.StringType(), T.StringType())
+JOURNAL = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("image", IMAGE),
+        T.StructField("seq", T.LongType()),
+        T.StructField(VERSION, T.LongType()),
+        T.StructField("error_reason", T.StringType()),
+        T.StructField("batch", T.StringType()),
+        T.StructField("storage", T.StringType()),
+    ]
+)
+#: What a manifest holds before the first batch.
+NOTHING = {"n": -1, "last": 0, "batches": [], "streams": {}, "registry": "[]", "storage": {}, "hidden_to": {}, "next_storage": 0, "bases": {}, "after": None}
 
 
 class LogStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _put(self, place: str, document: dict) -> None:
-        text = self.spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1)
-        text.write.mode("overwrite").text(f"{self.root}/{place}")
+    def _at(self, place: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{place}" if place else self.root)
+        return at, at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+    def _names(self, place: str) -> list[str]:
+        at, fs = self._at(place)
+        return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
-    def _all(self, place: str) -> list[dict]:
-        path = f"{self.root}/{place}"
-        if not self._exists(path):
-            return []
-        return [json.loads(r.value) for r in self.spark.read.option("recursiveFileLookup", "true").text(path).collect()]  # a line a batch
+    def _get(self, place: str) -> dict:
+        at, fs = self._at(place)
+        stream = fs.open(at)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
-    def entries(self) -> list[dict]:
-        """Manifest entries of the batches that are done, in order."""
-        return sorted(self._all("manifest"), key=lambda e: e["batch_id"])
+    def _put(self, place: str, document: dict) -> None:
+        """Written beside and renamed, so that no reader sees half of it."""
+        at, fs = self._at(place)
+        beside, _ = self._at(f"{place}.new")
+        stream = fs.create(beside, True)
+        stream.write(bytearray(json.dumps(document).encode()))
+        stream.close()
+        fs.delete(at, False)
+        if not fs.rename(beside, at):
+            raise OSError(f"{place} can't be written")
 
     def last(self) -> dict:
-        done = self.entries()
-        return done[-1] if done else {"batch_id": -1, "last": 0, "registry": "[]", "storage": {}, "hidden_to": {}}
-
-    def plan(self, batch_id: int, base: int) -> int:
+        """The newest manifest: one small file, whatever the number of batches before."""
+        names = [n for n in self._names("manifest") if n.endswith(".json")]
+        return NOTHING | (self._get(f"manifest/{names[-1]}") if names else {})
+
+    def commit(self, **changes) -> dict:
+        entry = self.last() | changes
+        entry["n"] += 1
+        self._put(f"manifest/{entry['n']:012d}.json", entry)
+        for name in self._names("manifest")[:-8]:  # readers that began with an older one may still need it
+            at, fs = self._at(f"manifest/{name}")
+            fs.delete(at, False)
+        return entry
+
+    def plan(self, key: str, base: int) -> int:
         """The batch's first version: a batch that runs again takes what was set the first time."""
-        for p in self._all("plans"):
-            if p["batch_id"] == batch_id:
-                return p["base"]
-        self._put(f"plans/batch={batch_id}", {"batch_id": batch_id, "base": base})
+        place = f"plans/{key}.json"
+        at, fs = self._at(place)
+        if fs.exists(at):
+            return self._get(place)["base"]
+        self._put(place, {"base": base})
         return base
 
-    def commit(self, entry: dict) -> None:
-        self._put(f"manifest/batch={entry['batch_id']}", entry)
-
     def registry(self) -> Registry:
         return Registry.from_json(self.last()["registry"])
 
-    def write(self, rows: DataFrame, storage: str, batch_id: int, part: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/logs/{storage}/batch_id={batch_id}/part_id={part}")
-
-    def write_bad(self, rows: DataFrame, batch_id: int, part: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/quarantine/batch_id={batch_id}/part_id={part}")
+    def write(self, rows: DataFrame, key: str) -> None:
+        """One batch of journal rows, all tables in one job."""
+        rows.select(*(f.name for f in JOURNAL if f.name != "batch")).write.mode("overwrite").partitionBy("storage").parquet(f"{self.root}/journal/batch={key}")
 
-    def _read(self, folder: str, done: list[int]) -> DataFrame | None:
-        path = f"{self.root}/{folder}"
-        if not done or not self._exists(path):
+    def _journal(self, entry: dict, storage: str | None = None) -> DataFrame | None:
+        """Journal rows of finished batches; only the folders of the batches that hold the table are listed."""
+        keys = [b["key"] for b in entry["batches"] if storage is None or storage in b["storages"]]
+        if not keys:
             return None
-        rows = self.spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
-        return rows.where(F.col("batch_id").isin(done)).drop("batch_id", "part_id")
+        rows = self.spark.read.schema(JOURNAL).option("basePath", f"{self.root}/journal").parquet(*(f"{self.root}/journal/batch={k}" for k in keys))
+        return rows if storage is None else rows.where(F.col("storage") == storage)
 
     def log(self, table: str) -> DataFrame:
-        """A table's log rows of finished batches, without those that a TRUNCATE or DROP hides."""
-        state = self.last()
-        rows = self._read(f"logs/{state['storage'].get(table, table)}", [e["batch_id"] for e in self.entries()])
-        if rows is None:
+        """A table's typed log rows of finished batches, without those that a TRUNCATE hides: its base and the journal behind it."""
+        entry = self.last()
+        if table not in entry["storage"]:
             raise LookupError(f"no log of table {table}")
-        hidden = state["hidden_to"].get(state["storage"].get(table, table))
-        return rows.where(F.col(VERSION) > hidden) if hidden is not None else rows
-
-    def quarantine(self) -> DataFrame | None:
-        return self._read("quarantine", [e["batch_id"] for e in self.entries()])
+        storage, spec = entry["storage"][table], Registry.from_json(entry["registry"])[table]
+        base, rows = entry["bases"].get(storage), self._journal(entry, storage)
+        rows = rows if rows is not None else self.spark.createDataFrame([], JOURNAL)
+        typed = changelog.typed(rows.where("error_reason is null"), spec).select(*spec.names, VERSION, DELETED, "seq")
+        if base is not None:
+            kept = self.spark.read.option("mergeSchema", "true").parquet(base["path"])
+            have = [F.col(f"`{f.name}`").cast(f.type).alias(f.name) if f.name in kept.columns else F.lit(None).cast(f.type).alias(f.name) for f in spec.fields]
+            typed = kept.select(*have, VERSION, DELETED, "seq").unionByName(typed.where(F.col(VERSION) > base["upto"]))
+        hidden = entry["hidden_to"].get(storage)
+        return typed.where(F.col(VERSION) > hidden) if hidden is not None else typed
+
+    def quarantine(self) -> DataFrame:
+        """Rows whose values didn't fit, with the reason and what was sent."""
+        rows = self._journal(self.last())
+        rows = rows if rows is not None else self.spark.createDataFrame([], JOURNAL)
+        return rows.where("error_reason is not null").select("table", "seq", VERSION, "error_reason", F.to_json("image").alias("payload"))
 
     def depths(self) -> DataFrame:
-        """Rows per stage: what is logged of every table, and what is set aside."""
-        state, parts = self.last(), []
-        for table in state["storage"]:
-            parts.append(self.log(table).select(F.lit("logged").alias("stage"), F.lit(table).alias("table")))
-        if (bad := self.quarantine()) is not None:
-            parts.append(bad.select(F.lit("quarantined").alias("stage"), "table"))
-        if not parts:
-            return self.spark.createDataFrame([], "stage string, table string, count long")
-        return reduce(DataFrame.unionByName, parts).groupBy("stage", "table").count()
+        """(stage, table, count): rows in the journal, and those set aside."""
+        rows = self._journal(self.last())
+        rows = rows if rows is not None else self.spark.createDataFrame([], JOURNAL)
+        return rows.groupBy(F.when(F.col("error_reason").isNull(), "logged").otherwise("quarantined").alias("stage"), "table").count()
+
+    def totals(self) -> DataFrame:
+        """(table, rows): journal rows by table, the largest first (a report)."""
+        rows = self._journal(self.last())
+        rows = rows if rows is not None else self.spark.createDataFrame([], JOURNAL)
+        return rows.groupBy("table").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "table")
+
+    def put_base(self, table: str, spec: TableSpec, path: str, upto: int, **changes) -> None:
+        """Make the typed rows at path the base of a table; rows of the journal up to that version no longer count."""
+        entry = self.last()
+        registry, storage = Registry.from_json(entry["registry"]), dict(entry["storage"])
+        registry.put(spec)
+        number = entry["next_storage"]
+        if table not in storage:
+            storage[table], number = f"s{number}", number + 1
+        bases = entry["bases"] | {storage[table]: {"path": path, "upto": upto}}
+        live = set(storage.values())
+        batches = [b for b in entry["batches"] if any(s in live and b["last"] > bases.get(s, {"upto": -1})["upto"] for s in b["storages"]) or b["bad"]]
+        self.commit(registry=registry.to_json(), storage=storage, next_storage=number, bases=bases, batches=batches, last=max(entry["last"], upto), **changes)
+
+    def compact(self, table: str) -> None:
+        """Write the latest rows of a table, dealt and sorted by key, as its new base; nothing that is read is overwritten."""
+        entry = self.last()
+        spec = Registry.from_json(entry["registry"])[table]
+        path = f"{self.root}/bases/{entry['storage'][table]}/{entry['n'] + 1}"
+        state.compact(self.log(table), spec.key_columns(), path)
+        self.put_base(table, spec, path, entry["last"])
 
     def reset(self) -> None:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+        at, fs = self._at("")
+        fs.delete(at, True)
