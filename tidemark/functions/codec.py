@@ -36,6 +36,19 @@ def iso_text(c: Column, kind: T.DataType) -> Column:
     return F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
+def _texts(c: Column, kind: T.DataType, fallback: str) -> Column:
+    """A nested value with all that JSON has no form for (bytes, decimals, times) as text, at any depth."""
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*(_texts(c[f.name], f.dataType, fallback).alias(f.name) for f in kind)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _texts(x, kind.elementType, fallback))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(F.transform_keys(c, lambda k, _: encode(k, kind.keyType, fallback)), lambda _, v: _texts(v, kind.valueType, fallback))
+    if isinstance(kind, (T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType, T.StringType)):
+        return c
+    return encode(c, kind, fallback)
+
+
 def encode(c: Column, kind: T.DataType, fallback: str = "base64") -> Column:
     """Any value as the text that the change feed carries; NULL stays NULL."""
     if isinstance(kind, T.StringType):
@@ -45,7 +58,7 @@ def encode(c: Column, kind: T.DataType, fallback: str = "base64") -> Column:
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return iso_text(c, kind)
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(c)
+        return F.to_json(_texts(c, kind, fallback))
     if isinstance(kind, T.DayTimeIntervalType):
         return time_text(c.cast("long"))
     return c.cast("string")

@@ -5,7 +5,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -28,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bucketed(events: DataFrame, size: int = 1 << 18) -> DataFrame:
+    """events with buckets of bounded size: minutes of their time, taken together."""
+    return ordering.balanced(events, F.floor(_micros() / 60_000_000), size)
+
+
 def _micros() -> F.Column:
     return F.unix_micros(F.col("ts").cast("timestamp"))
 
@@ -53,6 +57,11 @@ last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY co
 ROW = "id, event_type, value, props, op, commit_time, delete_time, seq"
 _COLUMNS = ROW.split(", ")
 
+def _row_sql(*columns: str) -> str:
+    """What codec.row_text gives."""
+    return " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in columns)
+
+
 _SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -109,7 +118,7 @@ def is_deleted_flag(spark, sf_dir):
 
 @query(f"{CHANGES} SELECT {ROW} FROM last")
 def compact(spark, sf_dir):
-    return state.latest(_changes(spark, sf_dir), ["id"]).select(*_COLUMNS)
+    return state.compact(_changes(spark, sf_dir), ["id"], _scratch(spark)).select(*_COLUMNS)
 
 
 @query(f"{CHANGES} SELECT id, seq, commit_time, lead(commit_time) OVER (PARTITION BY id ORDER BY commit_time, seq) AS valid_to, delete_time FROM cl")
@@ -162,7 +171,7 @@ def queue_fifo(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", "ts", "event_type").orderBy("event_id").limit(100)
 
 
-@query("SELECT md5(concat_ws('|', coalesce(CAST(r_regionkey AS VARCHAR), '\\N'), coalesce(r_name, '\\N'))) AS k, r_name FROM region UNION ALL SELECT md5(concat_ws('|', coalesce(CAST(n_nationkey AS VARCHAR), '\\N'), coalesce(n_name, '\\N'), coalesce(CAST(n_regionkey AS VARCHAR), '\\N'))), n_name FROM nation")
+@query(f"SELECT md5({_row_sql('r_regionkey', 'r_name')}) AS k, r_name FROM region UNION ALL SELECT md5({_row_sql('n_nationkey', 'n_name', 'n_regionkey')}), n_name FROM nation")
 def no_pk_key(spark, sf_dir):
     region = _table(spark, sf_dir, "region").select(codec.row_key(F.col("r_regionkey"), F.col("r_name")).alias("k"), "r_name")
     nation = _table(spark, sf_dir, "nation").select(codec.row_key(F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey")).alias("k"), F.col("n_name").alias("r_name"))
@@ -177,12 +186,13 @@ def composite_key_latest(spark, sf_dir):
 
 @query("SELECT event_id, CAST(round(value, 2) AS DECIMAL(10, 2)) AS amount FROM events")
 def type_decimal(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", F.round("value", 2).cast("decimal(10,2)").alias("amount"))
+    return _table(spark, sf_dir, "events").select("event_id", codec.decode(F.round("value", 2).cast("string"), T.DecimalType(10, 2)).alias("amount"))
 
 
 @query("SELECT event_id, epoch_us(date_trunc('milliseconds', ts)) AS us FROM events")
 def datetime_ms(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", F.unix_micros(F.date_trunc("millisecond", "ts").cast("timestamp")).alias("us"))
+    text = codec.encode(F.col("ts"), T.TimestampNTZType())
+    return _table(spark, sf_dir, "events").select("event_id", F.unix_micros(codec.decode(text, T.TimestampNTZType()).cast("timestamp")).alias("us"))
 
 
 @query("SELECT event_id, CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS iso FROM events")
@@ -190,11 +200,10 @@ def iso_encode(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", codec.iso_text(F.col("ts"), T.TimestampNTZType()).alias("iso"))
 
 
-@query("SELECT event_id, epoch_us(ts) AS us FROM events")
+@query("SELECT event_id, CASE WHEN epoch_us(ts) % 1000000 // 1000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(date_trunc('milliseconds', ts), '%Y-%m-%dT%H:%M:%S.%f') END AS iso FROM events")
 def iso_round_trip(spark, sf_dir):
-    text = codec.iso_text(F.date_trunc("second", "ts"), T.TimestampNTZType())
-    rest = F.pmod(_micros(), F.lit(1_000_000))
-    return _table(spark, sf_dir, "events").select("event_id", (F.unix_micros(codec.datetime_value(text, T.TimestampNTZType()).cast("timestamp")) + rest).alias("us"))
+    kind = T.TimestampNTZType()
+    return _table(spark, sf_dir, "events").select("event_id", codec.encode(codec.decode(codec.encode(F.col("ts"), kind), kind), kind).alias("iso"))
 
 
 @query("SELECT event_id, (CASE WHEN event_id % 2 = 1 AND event_id % 400000 > 0 THEN '-' ELSE '' END) || lpad(CAST((event_id % 400000) // 3600 AS VARCHAR), CAST(greatest(2, length(CAST((event_id % 400000) // 3600 AS VARCHAR))) AS INTEGER), '0') || ':' || lpad(CAST(((event_id % 400000) // 60) % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST((event_id % 400000) % 60 AS VARCHAR), 2, '0') AS t FROM events")
@@ -203,9 +212,13 @@ def time_text(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", codec.time_text(seconds).alias("t"))
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+NESTED = T.StructType([T.StructField("k", T.StringType()), T.StructField("amount", T.DecimalType(10, 2)), T.StructField("raw", T.BinaryType()), T.StructField("at", T.ArrayType(T.DateType()))])
+
+
+@query("SELECT event_id, '{\"k\":\"' || json_extract_string(props, '$.k') || '\",\"amount\":\"' || CAST(CAST(round(value, 2) AS DECIMAL(10, 2)) AS VARCHAR) || '\",\"raw\":\"' || event_type || '\",\"at\":[\"' || strftime(ts, '%Y-%m-%d') || '\"]}' AS j FROM events")
 def json_field(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    nested = F.struct(F.get_json_object("props", "$.k").alias("k"), F.round("value", 2).cast("decimal(10,2)").alias("amount"), F.encode("event_type", "utf-8").alias("raw"), F.array(F.to_date("ts")).alias("at"))
+    return _table(spark, sf_dir, "events").select("event_id", codec.encode(nested, NESTED).alias("j"))
 
 
 @query("SELECT doc_id, base64(encode(text)) AS b, text AS t FROM documents")
@@ -238,21 +251,22 @@ def error_class(spark, sf_dir):
 @query("SELECT batch, count(*) AS n, min(event_id) AS first, max(event_id) AS last FROM (SELECT event_id, CAST(floor((row_number() OVER (ORDER BY ts, event_id) - 1) / 200) AS BIGINT) AS batch FROM events) GROUP BY batch")
 def count_batches(spark, sf_dir):
     rows = _table(spark, sf_dir, "events").select("ts", "event_id")
-    return ordering.chunks(rows, F.to_date("ts"), ["ts", "event_id"], 200).groupBy("batch").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    return ordering.chunks(_bucketed(rows), F.col("bucket"), ["ts", "event_id"], 200).groupBy("batch").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
 
 
 @query("SELECT segment, user_id, count(*) AS n, min(event_id) AS first FROM (SELECT event_id, user_id, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment FROM events) GROUP BY segment, user_id")
 def ddl_barrier_groups(spark, sf_dir):
     rows = _table(spark, sf_dir, "events").select("ts", "event_id", "user_id", "event_type")
-    cut = ordering.segments(rows, F.to_date("ts"), ["ts", "event_id"], F.col("event_type") == "error")
+    cut = ordering.segments(_bucketed(rows), F.col("bucket"), ["ts", "event_id"], F.col("event_type") == "error")
     return cut.groupBy("segment", "user_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
 
 
-@query("SELECT island, event_type, count(*) AS n, max(event_id) AS id FROM (SELECT *, CAST(sum(new) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM (SELECT *, CASE WHEN event_type = lag(event_type) OVER (ORDER BY ts, event_id) THEN 0 ELSE 1 END AS new FROM events)) GROUP BY island, event_type")
+@query("SELECT event_type, kind, count(*) AS n, min(event_id) AS first, max(event_id) AS last, string_agg(props, ',' ORDER BY ts, event_id) AS texts FROM (SELECT *, CAST(sum(new) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM (SELECT *, event_id % 2 AS kind, CASE WHEN event_type = lag(event_type) OVER (ORDER BY ts, event_id) AND event_id % 2 = lag(event_id % 2) OVER (ORDER BY ts, event_id) THEN 0 ELSE 1 END AS new FROM events)) GROUP BY island, event_type, kind")
 def debug_merge(spark, sf_dir):
-    rows = _table(spark, sf_dir, "events").select("ts", "event_id", "event_type")
-    cut = ordering.islands(rows, F.to_date("ts"), ["ts", "event_id"], F.col("event_type"))
-    return cut.groupBy("island", "event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("id"))
+    """Runs of equal type and kind as one row each, with all their texts."""
+    rows = _table(spark, sf_dir, "events").select("ts", "event_id", "event_type", (F.col("event_id") % 2).alias("kind"), "props")
+    found = ordering.merged(_bucketed(rows), F.col("bucket"), ["ts", "event_id"], ["event_type", "kind"], F.col("props"))
+    return found.select("event_type", "kind", "n", F.col("first.event_id").alias("first"), F.col("last.event_id").alias("last"), "texts")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
@@ -285,14 +299,14 @@ def reconcile_summary(spark, sf_dir):
     return reconcile.summary(source, target, ["o_orderkey"], ["o_custkey", "o_orderstatus"])
 
 
-@query("SELECT count(*) AS n, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), '\\N'), coalesce(CAST(o_custkey AS VARCHAR), '\\N'), coalesce(o_orderstatus, '\\N'))), 1, 15) AS BIGINT)) AS VARCHAR) AS total FROM orders")
+@query(f"SELECT count(*) AS n, CAST(sum(CAST('0x' || substr(md5({_row_sql('o_orderkey', 'o_custkey', 'o_orderstatus')}), 1, 15) AS BIGINT)) AS VARCHAR) AS total FROM orders")
 def table_checksum(spark, sf_dir):
     return reconcile.checksum(_table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus"])
 
 
-@query("SELECT md5(string_agg(concat_ws('|', coalesce(CAST(n_nationkey AS VARCHAR), '\\N'), coalesce(n_name, '\\N')), chr(10) ORDER BY n_nationkey)) AS checksum FROM nation")
+@query(f"SELECT md5(string_agg(s, '' ORDER BY part)) AS checksum FROM (SELECT o_orderkey // 1000 AS part, md5(string_agg(md5({_row_sql('o_orderkey', 'o_custkey', 'o_orderstatus')}), '' ORDER BY o_orderkey)) AS s FROM orders GROUP BY part)")
 def ordered_checksum(spark, sf_dir):
-    return reconcile.ordered_checksum(_table(spark, sf_dir, "nation"), ["n_nationkey", "n_name"], ["n_nationkey"])
+    return reconcile.ordered_checksum(_table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus"], ["o_orderkey"], F.floor(F.col("o_orderkey") / 1000))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -360,39 +374,46 @@ def update_image(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", F.try_element_at(merged, F.lit("kind")).alias("kind"), F.try_element_at(merged, F.lit("other")).alias("other"))
 
 
-@query("SELECT doc_id AS id, lang, CASE WHEN doc_id < 100 THEN 'unset' ELSE source END AS source FROM documents")
+@query("SELECT doc_id AS id, lang, CASE WHEN doc_id < 100 THEN 'unset' ELSE source END AS source, CAST(n_chars AS VARCHAR) AS size FROM documents")
 def evolved_view(spark, sf_dir):
-    spec = TableSpec("d", (Field("id", "bigint"), Field("lang", "string")), ("id",))
-    spec = spec.evolve([{"COLUMN_NAME": "source", "DATA_TYPE": "varchar", "COLUMN_TYPE": "varchar(20)", "IS_NULLABLE": "YES", "COLUMN_DEFAULT": "unset"}], at=100)
-    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", F.when(F.col("doc_id") >= 100, F.col("source")).alias("source"), F.col("doc_id").alias("commit_time"), F.lit(0).cast("long").alias("delete_time"))
-    return spec.view(docs).select("id", "lang", "source")
+    """A column added with a default, one dropped, one made wider."""
+    spec = TableSpec("d", (Field("id", "bigint"), Field("lang", "string"), Field("text", "string"), Field("size", "bigint")), ("id",))
+    spec = spec.evolve([{"COLUMN_NAME": "source", "DATA_TYPE": "varchar", "COLUMN_TYPE": "varchar(20)", "IS_NULLABLE": "YES", "COLUMN_DEFAULT": "unset"}], at=100).hide("text").widen("size", "string")
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "text", F.col("n_chars").alias("size"), F.when(F.col("doc_id") >= 100, F.col("source")).alias("source"), F.col("doc_id").alias("commit_time"), F.lit(0).cast("long").alias("delete_time"))
+    return spec.view(docs).drop("commit_time", "delete_time")
 
 
-STATEMENTS = [
-    ("-- note\nCREATE TABLE a (id INT)", "create"),
-    ("/* x */ DROP TABLE IF EXISTS b, c", "drop"),
-    ("ALTER TABLE `d`.`e` ADD x INT", "alter"),
-    ("# y\nTRUNCATE f", "truncate"),
-    ("RENAME TABLE g TO h", "rename"),
-    ("GRANT ALL ON x", None),
-    ("SAVEPOINT s", None),
-]
-
-
-@query("SELECT * FROM (VALUES (0, 'create'), (1, 'drop'), (2, 'alter'), (3, 'truncate'), (4, 'rename'), (5, NULL), (6, NULL)) t(n, kind)")
+@query("SELECT event_id, CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'drop' WHEN 'view' THEN 'alter' WHEN 'click' THEN CASE event_id % 3 WHEN 0 THEN 'truncate' WHEN 1 THEN 'rename' END END AS kind, event_type = 'purchase' AS frames FROM events")
 def ddl_classify(spark, sf_dir):
-    rows = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(STATEMENTS)], "n int, statement string")
-    return rows.select("n", schema_change.kind_column(F.col("statement")).alias("kind"))
-
-
-@query("SELECT 'logged' AS stage, count(*) AS n FROM events WHERE event_type <> 'error' UNION ALL SELECT 'failed', count(*) FROM events WHERE event_type = 'error'")
-def queue_depths(spark, sf_dir):
-    stage = F.when(F.col("event_type") == "error", "failed").otherwise("logged")
-    return _table(spark, sf_dir, "events").groupBy(stage.alias("stage")).agg(F.count("*").alias("n"))
+    """Every event as a statement, with comments before it."""
+    t = F.concat(F.lit("t"), F.col("event_id"))
+    kinds = {"signup": F.concat(F.lit("-- note\nCREATE TABLE IF NOT EXISTS "), t, F.lit(" (id INT)")), "error": F.concat(F.lit("/* x */ drop TABLE IF EXISTS `d`."), t), "view": F.concat(F.lit("ALTER TABLE "), t, F.lit(" ADD x INT")), "purchase": F.lit("# y\n savepoint s")}
+    clicks = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("TRUNCATE "), t)).when(F.col("event_id") % 3 == 1, F.concat(F.lit("RENAME TABLE "), t, F.lit(" TO u"))).otherwise(F.lit("GRANT ALL ON x"))
+    statement = F.lit(None).cast("string")
+    for kind, text in kinds.items():
+        statement = F.when(F.col("event_type") == kind, text).otherwise(statement)
+    statement = F.coalesce(statement, clicks)
+    return _table(spark, sf_dir, "events").select("event_id", schema_change.kind_column(statement).alias("kind"), schema_change.transaction_column(statement).alias("frames"))
+
+
+@query("SELECT event_id, strftime(ts + INTERVAL 4 HOUR, '%Y-%m-%d %H:%M:%S') AS shown FROM events")
+def local_time(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select("event_id", F.date_format(codec.local_time(F.col("ts").cast("timestamp"), "+04:00"), "yyyy-MM-dd HH:mm:ss").alias("shown"))
+
+
+@query("SELECT event_id AS seq FROM events WHERE event_id % 3 <> 0 AND event_type <> 'signup'")
+def lacking_images(spark, sf_dir):
+    """Updates and deletes that came without the row they are about."""
+    values = F.create_map(F.lit("id"), F.col("user_id").cast("string"))
+    none = F.lit(None).cast("map<string,string>")
+    kind = F.when(F.col("event_type") == "error", changelog.DELETE).when(F.col("event_type") == "signup", changelog.INSERT).otherwise(changelog.UPDATE)
+    whole = F.col("event_id") % 3 == 0
+    row = F.struct(F.when(whole & (kind != changelog.UPDATE), values).otherwise(none).alias("values"), none.alias("before_values"), F.when(whole & (kind == changelog.UPDATE), values).otherwise(none).alias("after_values"))
+    return feed.full_images(_table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), kind.alias("type"), F.array(row).alias("rows"))).select("seq")
 
 
 def _scratch(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{folder.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
@@ -410,20 +431,99 @@ def stream_latest(spark, sf_dir):
     return state.active(spark.read.parquet(f"{root}/log").drop("batch_id"), ["id"]).select(*_COLUMNS)
 
 
-@query("SELECT user_id AS id, event_type AS kind, event_id AS seq FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'")
-def stream_ingest(spark, sf_dir):
-    """events as envelopes, streamed through the whole ingest: versions, types, quarantine, manifest, live rows."""
-    root = _scratch(spark)
-    values = F.create_map(F.lit("id"), F.col("user_id").cast("string"), F.lit("kind"), F.col("event_type"))
+def _envelopes(rows: DataFrame, poison: bool = False) -> DataFrame:
+    """events as envelopes of the change feed; with poison, every tenth id is no number and every seventh table unknown."""
+    ident = F.col("user_id").cast("string")
+    table = F.lit("users")
+    if poison:
+        ident = F.when(F.col("event_id") % 10 == 0, "poison").otherwise(ident)
+        table = F.when(F.col("event_id") % 7 == 0, "strangers").otherwise(table)
+    values = F.create_map(F.lit("id"), ident, F.lit("kind"), F.col("event_type"))
     kind = F.when(F.col("event_type") == "error", changelog.DELETE).when(F.col("event_type") == "signup", changelog.INSERT).otherwise(changelog.UPDATE)
     updated = kind == changelog.UPDATE
     change = F.struct(F.when(~updated, values).alias("values"), F.when(updated, values).alias("before_values"), F.when(updated, values).alias("after_values"))
-    rows = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    events = rows.select(F.col("event_id").alias("seq"), F.lit("bin.000001").alias("file"), F.col("event_id").alias("pos"), kind.alias("type"), _micros().alias("timestamp"), F.lit("db").alias("schema"), F.lit("users").alias("table"), F.lit(None).cast("string").alias("query"), F.lit(None).cast("string").alias("columns"), F.array(change).alias("rows"))
-    spec = TableSpec("users", (Field("id", "bigint", False), Field("kind", "string")), ("id",))
+    return rows.select(F.col("event_id").alias("seq"), F.lit("bin.000001").alias("file"), F.col("event_id").alias("pos"), kind.alias("type"), _micros().alias("timestamp"), F.lit("db").alias("schema"), table.alias("table"), F.lit(None).cast("string").alias("query"), F.lit(None).cast("string").alias("columns"), F.array(change).alias("rows"))
+
+
+USERS = TableSpec("users", (Field("id", "bigint", False), Field("kind", "string")), ("id",))
+
+
+def _streamed(spark, sf_dir, poison: bool = False, extra: DataFrame | None = None, times: int = 1) -> LogStore:
+    """A store that events were streamed into, `times` with a checkpoint of their own, after the envelopes of `extra`."""
+    root = _scratch(spark)
     store = LogStore(spark, root)
-    start(events, Ingest(store, [spec]), f"{root}/checkpoint").awaitTermination()
-    return state.current(store.log("users"), spec).select("id", "kind", "seq")
+    ingest = Ingest(store, [USERS], schemas=["db"])
+    if extra is not None:
+        ingest(extra, 0, "before")
+    for i in range(times):
+        rows = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        start(_envelopes(rows, poison), ingest, f"{root}/checkpoint{i}").awaitTermination()
+    return store
+
+
+LAST_USERS = "SELECT user_id AS id, event_type AS kind, event_id AS seq FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'"
+
+
+@query(LAST_USERS)
+def stream_ingest(spark, sf_dir):
+    """events as envelopes, streamed through the whole ingest: versions, types, quarantine, manifest, live rows."""
+    store = _streamed(spark, sf_dir)
+    return state.current(store.log("users"), USERS).select("id", "kind", "seq")
+
+
+@query(LAST_USERS)
+def stream_replayed(spark, sf_dir):
+    """The same sent twice, by two checkpoints, and compacted: the live rows are the same."""
+    store = _streamed(spark, sf_dir, times=2)
+    store.compact("users")
+    return state.current(store.log("users"), USERS).select("id", "kind", "seq")
+
+
+COLUMNS = '[{"COLUMN_NAME": "id", "DATA_TYPE": "bigint", "COLUMN_TYPE": "bigint", "IS_NULLABLE": "NO", "COLUMN_DEFAULT": null}, {"COLUMN_NAME": "kind", "DATA_TYPE": "varchar", "COLUMN_TYPE": "varchar(20)", "IS_NULLABLE": "YES", "COLUMN_DEFAULT": null}]'
+
+
+@query(f"SELECT 'users' AS tbl, id, kind, seq FROM ({LAST_USERS}) UNION ALL SELECT 'users_old', user_id, event_type, -1000000 + event_id FROM events WHERE event_id < 50 AND event_type <> 'error' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
+def stream_renames(spark, sf_dir):
+    """A table renamed, another made under its name and truncated, another schema's statements: each keeps its own rows."""
+    early = _envelopes(_table(spark, sf_dir, "events").where("event_id < 50 and event_type <> 'error'"))
+    early = early.withColumn("seq", F.col("seq") - 1_000_000)
+    sent = [(-500_000, "db", "RENAME TABLE users TO users_old", None), (-400_000, "db", "CREATE TABLE `db`.`users` (id BIGINT, kind VARCHAR(20))", COLUMNS), (-300_000, "other", "DROP TABLE users_old", None), (-200_000, "db", "TRUNCATE TABLE users", None)]
+    made = [(seq, "bin.000000", 0, feed.QUERY, 0, schema, None, text, columns, []) for seq, schema, text, columns in sent]
+    store = _streamed(spark, sf_dir, extra=early.unionByName(spark.createDataFrame(made, feed.SCHEMA)))
+    parts = [state.current(store.log(t), store.registry()[t]).select(F.lit(t).alias("tbl"), "id", "kind", "seq") for t in ("users", "users_old")]
+    return parts[0].unionByName(parts[1])
+
+
+KINDS = "(SELECT CASE WHEN event_id % 7 = 0 OR event_id % 10 = 0 THEN 'quarantined' ELSE 'logged' END AS stage, CASE WHEN event_id % 7 = 0 THEN 'strangers' ELSE 'users' END AS tbl FROM events)"
+
+
+@query(f"SELECT stage, tbl, count(*) AS n FROM {KINDS} GROUP BY stage, tbl")
+def queue_depths(spark, sf_dir):
+    return _streamed(spark, sf_dir, poison=True).depths().select("stage", F.col("table").alias("tbl"), F.col("count").alias("n"))
+
+
+@query(f"SELECT tbl, count(*) AS n FROM {KINDS} GROUP BY tbl")
+def row_totals(spark, sf_dir):
+    return _streamed(spark, sf_dir, poison=True).totals().select(F.col("table").alias("tbl"), F.col("rows").alias("n"))
+
+
+@query("SELECT event_id AS seq, CASE WHEN event_id % 7 = 0 THEN 'table isn''t registered' ELSE 'id: not bigint: poison' END AS reason FROM events WHERE event_id % 7 = 0 OR event_id % 10 = 0")
+def dead_letters(spark, sf_dir):
+    return _streamed(spark, sf_dir, poison=True).quarantine().select("seq", F.col("error_reason").alias("reason"))
+
+
+@query("SELECT o_orderkey AS id, o_custkey, o_orderstatus, CAST(7 AS BIGINT) AS commit_time, CAST(0 AS BIGINT) AS delete_time, CAST(-1 AS BIGINT) AS seq FROM orders")
+def snapshot_copy(spark, sf_dir):
+    """A table found in its folder, copied in ranges of its key, and read back from the store."""
+    if "orders" not in snapshot.discover(snapshot.tables_in(spark, sf_dir), None, ["lineitem"]):
+        raise LookupError("orders isn't found")
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", "o_orderstatus")
+    spec = TableSpec("orders", tuple(Field(f.name, f.dataType.simpleString()) for f in rows.schema), ("id",))
+    store = LogStore(spark, _scratch(spark))
+    path = f"{store.root}/snapshots/orders/7"
+    snapshot.copied(rows, snapshot.strategy(rows.schema, ["id"]), 7, path, 1 << 22)
+    store.put_base("orders", spec, path, 7)
+    return store.log("orders")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

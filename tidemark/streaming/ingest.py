@@ -26,7 +26,7 @@ from tidemark.sources import feed
 from tidemark.streaming.store import LogStore
 
 log = logging.getLogger(__name__)
-_END = 2**63 - 1
+_BEGIN, _END = -(2**63), 2**63 - 1
 _INTERVALS = T.StructType([T.StructField("_table", T.StringType()), T.StructField("_from", T.LongType()), T.StructField("_to", T.LongType()), T.StructField("storage", T.StringType())])
 
 
@@ -81,7 +81,7 @@ class Ingest:
         for name in registry.specs:
             if name not in storage:
                 storage[name], number = f"s{number}", number + 1
-        begun = {name: (s, -1) for name, s in storage.items()}  # table: its storage and since when
+        begun = {name: (s, _BEGIN) for name, s in storage.items()}  # table: its storage and since when
         specs = {s: registry[name] for name, s in storage.items()}
         intervals: list[tuple] = []
 
