@@ -27,6 +27,8 @@ _COLUMN = np.arange(8, dtype=np.int64) * 256
 _LOW = np.uint64(0xFFFFFFFF)
 #: Words whose shingles are hashed at once, so that very long texts need little memory.
 _BLOCK = 1 << 18
+#: Parts that the rows of one group of copies are dealt into.
+_SALTS = 16
 #: Rows of a cell that is searched by pieces of its fingerprints; the result is the same.
 _BIG = 20_000
 
@@ -414,8 +416,11 @@ def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -
     say; equal rows stay or go together.
     """
     rows = common.durable(near_copies(docs, width, similarity).withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")))
-    first = rows.groupBy("root").agg(F.min("place").alias("first"))
-    extra = rows.join(first, "root").where("place.row_key <> first.row_key").select(F.col("row_key").alias("_tidemark_key")).distinct()
+    first = rows.groupBy("root").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    # a large group meets its first row in several tasks
+    first = first.select("root", "first", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("row_key", "root"), F.lit(_SALTS)).cast("int"))
+    extra = dealt.join(first, ["root", "salt"]).where("place.row_key <> first.row_key").select(F.col("row_key").alias("_tidemark_key")).distinct()
     return docs.withColumn("_tidemark_key", common.row_key(docs)).join(extra, "_tidemark_key", "left_anti").drop("_tidemark_key")
 
 

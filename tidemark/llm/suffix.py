@@ -32,8 +32,9 @@ from . import common
 
 GRAM = 32
 #: Texts sampled to learn which grams many different surroundings share, how many make one hot, how many hot ones are
-#: sent to the tasks, and the pieces that such a gram is cut into.  Results don't depend on these.
-SAMPLE, HOT, MOST_HOT, PIECES = 8_000, 24, 1 << 16, 4
+#: sent to the tasks, and the pieces that such a gram is cut into; one that is HOT times hotter than that, into more.
+#: Results don't depend on these.
+SAMPLE, HOT, MOST_HOT, PIECES, HOTTER, MORE_PIECES = 8_000, 24, 1 << 16, 4, 12, 16
 #: Bytes hashed at once; longer texts go block by block.
 _BLOCK = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
@@ -129,22 +130,23 @@ def groups(rows: list[tuple], lcp: list[int], least: int):
             yield left + right, doc, sub, place - left, name
 
 
-def pieces(least: int, gram: int) -> list[tuple[int, int]]:
-    """(before, behind): strings of `least` bytes around a gram's place share the bytes of one of these ranges at least.
+def pieces(least: int, gram: int, n: int) -> list[tuple[int, int, int, int]]:
+    """(before, behind, left, right): windows of `least` bytes around a gram's place belong to one of these pieces each.
 
-    If they share r bytes from the place on, r lies between two of the cuts, and then they share least - r before it.
+    A window with r bytes from the place on belongs to the piece whose cuts r lies between.  All of the piece's windows
+    hold `before` and `behind` bytes on the two sides of the place, and none of them more than `left` and `right`.
     """
-    cuts = np.linspace(gram, least + 1, PIECES + 1).astype(int).tolist()
-    return [(least + 1 - b, a) for a, b in zip(cuts, cuts[1:])]
+    cuts = np.linspace(gram, least + 1, n + 1).astype(int).tolist()
+    return [(least + 1 - b, a, least - a, b - 1) for a, b in zip(cuts, cuts[1:])]
 
 
-def _key(text: bytes, place: int, piece: int, cut: list[tuple[int, int]], gram: int) -> int:
-    before, behind = cut[piece - 1] if piece else (0, gram)
+def _key(text: bytes, place: int, piece: int, cut: list[tuple], gram: int) -> int:
+    before, behind = cut[piece - 1][:2] if piece else (0, gram)
     return xxhash.xxh3_64_intdigest(text[place - before : place + behind], piece) - (1 << 63)
 
 
-def _sampled(docs: DataFrame, least: int, gram: int) -> np.ndarray:
-    """Keys of grams that many different surroundings share, by a bounded sample of texts: only speed depends on it."""
+def _sampled(docs: DataFrame, least: int, gram: int) -> dict[int, bool]:
+    """Keys of grams that many different surroundings share, true for the hottest, by a bounded sample of texts."""
     share = max(1, docs.count() // SAMPLE)
 
     def run(parts):
@@ -158,7 +160,7 @@ def _sampled(docs: DataFrame, least: int, gram: int) -> np.ndarray:
     some = docs.where((F.octet_length("body") >= least) & (F.pmod(F.xxhash64("body"), F.lit(share)) == 0)).select("body")
     often = some.mapInArrow(run, "key long, around long").distinct().groupBy("key").count().where(F.col("count") >= HOT)
     found = often.orderBy(F.desc("count"), "key").limit(MOST_HOT).toPandas()
-    return np.sort(found["key"].to_numpy(np.int64))
+    return {int(k): bool(n >= HOT * HOTTER) for k, n in zip(found["key"], found["count"])}
 
 
 def surroundings(docs: DataFrame, texts: DataFrame, least: int = 100, gram: int = GRAM, collapse: bool = True) -> DataFrame:
@@ -167,12 +169,13 @@ def surroundings(docs: DataFrame, texts: DataFrame, least: int = 100, gram: int
     Needs doc_id, sub, body; texts is docs packed.  With collapse, what equals the text around an earlier gram of its batch, byte for byte, is
     told as a covered span (right is null then), so that copies come down to one row a batch.
     """
-    cut = pieces(least, gram)
+    cut = [*pieces(least, gram, PIECES), *pieces(least, gram, MORE_PIECES)]
+    which = {False: range(1, PIECES + 1), True: range(PIECES + 1, PIECES + MORE_PIECES + 1)}
     anchors = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("sub", pa.int64()), ("at", pa.int64()), ("kind", pa.int8())])
     sent = docs.sparkSession.sparkContext.broadcast(_sampled(docs, least, gram))
 
     def read(parts):
-        hot = frozenset(sent.value.tolist())
+        hot = sent.value
 
         def batch(keys, docs_, subs, ats):
             key, at = np.array(keys, np.int64), np.array(ats, np.int64)
@@ -191,13 +194,13 @@ def surroundings(docs: DataFrame, texts: DataFrame, least: int = 100, gram: int
                 places, _, first, last = (x.tolist() for x in chosen_grams(text, least, gram))
                 for p, a, b in zip(places, first, last):
                     key = _key(text, p, 0, cut, gram)
-                    at = (p << 20) | ((p - a) << 12) | ((b + least - p) << 4)
+                    at = (p << 21) | ((p - a) << 13) | ((b + least - p) << 5)
                     if key not in hot:
                         out[0].append(key)
                         out[3].append(at)
                     else:
-                        for k, (before, behind) in enumerate(cut, 1):
-                            if before <= p - a and behind <= b + least - p:
+                        for k in which[hot[key]]:
+                            if cut[k - 1][0] <= p - a and cut[k - 1][1] <= b + least - p:
                                 out[0].append(_key(text, p, k, cut, gram))
                                 out[3].append(at | k)
                 out[1] += [doc] * (len(out[0]) - len(out[1]))
@@ -243,8 +246,10 @@ def surroundings(docs: DataFrame, texts: DataFrame, least: int = 100, gram: int
             for doc, sub, size, body, wanted in sorted((r for r in zip(*columns) if r[4]), key=lambda r: r[:2]):
                 text, told = codec.decompress(body, size, asbytes=True), []
                 for at in sorted(wanted):
-                    p, left, right = at >> 20, (at >> 12) & 255, (at >> 4) & 255
-                    key, around, own = _key(text, p, at & 15, cut, gram), text[p - left : p + right], (doc, sub, p)
+                    p, left, right, piece = at >> 21, (at >> 13) & 255, (at >> 5) & 255, at & 31
+                    if piece:
+                        left, right = min(left, cut[piece - 1][2]), min(right, cut[piece - 1][3])
+                    key, around, own = _key(text, p, piece, cut, gram), text[p - left : p + right], (doc, sub, p)
                     if collapse and seen.setdefault((key, around, left), own) != own:
                         told.append({"s": p - left, "e": p + right})
                         continue
