@@ -16,11 +16,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def durable(df: DataFrame, free: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    With free, the driver's JVM is asked to collect what the write left, so that Spark's cleaner can take away its large
+    shuffle files now rather than at its next periodic collection.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if free:
+        spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
