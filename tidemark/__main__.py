@@ -74,6 +74,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     except (OSError, ValueError) as e:
         log.error("settings can't be read: %s", e)
         return control.BAD_CONFIG
+    if s.migration.debug:
+        log.setLevel(logging.DEBUG)
     if s.migration.mode not in ("snapshot", "cdc"):
         log.error("unknown mode %s", s.migration.mode)
         return control.BAD_MODE
