@@ -93,6 +93,8 @@ class Encoder:
     def chunk_ids(self, chunk: str) -> list[int]:
         if chunk.isascii():
             chunk = chunk.lower()
+            if chunk.isalpha():  # one word, most often met in this chunk alone
+                return self.word_ids(chunk)
         else:
             chunk = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
             if self.newer is None and max(chunk) >= _GROWING:

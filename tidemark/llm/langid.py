@@ -51,14 +51,20 @@ class Table:
         self.langs = langs.astype(np.int32)
         self.more = (np.log((times + 0.5) / total[langs]) - self.base[langs]).astype(np.float32)
 
-    def find(self, key: int) -> int | None:
-        at = int(np.searchsorted(self.keys, np.int64(key)))
-        return at if at < len(self.keys) and self.keys[at] == key else None
-
-    def row(self, at: int) -> np.ndarray:
-        out = self.base.copy()
-        own = slice(self.start[at], self.start[at + 1])
-        out[self.langs[own]] += self.more[own]
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it isn't known."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def rows(self, at: np.ndarray) -> np.ndarray:
+        """Log frequencies by language at those places."""
+        out = np.tile(self.base, (len(at), 1))
+        size = self.start[at + 1] - self.start[at]
+        row = np.repeat(np.arange(len(at)), size)
+        own = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + self.start[at][row]
+        out[row, self.langs[own]] += self.more[own]
         return out
 
 
@@ -84,14 +90,25 @@ class Model:
         self.seen: dict[str, int] = {}
         self.rows = np.empty((0, len(self.languages)), np.float32)
 
-    def score(self, word: str) -> np.ndarray:
-        if (at := self.tables[0].find(name(word))) is not None:
-            return self.tables[0].row(at)
+    def scores(self, words: list[str]) -> np.ndarray:
+        """A row of log frequencies for each word: its own, or else the mean of its longest n-grams of which any is known."""
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        at = self.tables[0].find(np.fromiter(map(name, words), np.int64, len(words)))
+        out[at >= 0] = self.tables[0].rows(at[at >= 0])
+        left = np.flatnonzero(at < 0)
         for n in range(LONGEST, 0, -1):
-            table = self.tables[n]
-            if found := [at for g in grams(word, n) if (at := table.find(name(g))) is not None]:
-                return np.mean([table.row(at) for at in found], axis=0)
-        return np.zeros(len(self.languages), np.float32)
+            if not len(left):
+                break
+            own = [grams(words[i], n) for i in left.tolist()]
+            of = np.repeat(np.arange(len(left)), [len(x) for x in own])
+            at = self.tables[n].find(np.fromiter((name(g) for x in own for g in x), np.int64, len(of)))
+            of, at = of[at >= 0], at[at >= 0]
+            total, count = np.zeros((len(left), len(self.languages))), np.bincount(of, minlength=len(left))
+            np.add.at(total, of, self.tables[n].rows(at))
+            known = count > 0
+            out[left[known]] = total[known] / count[known, None]
+            left = left[~known]
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not text:
@@ -108,9 +125,8 @@ class Model:
                 more = np.empty((max(2 * len(self.rows), at + len(new), 1 << 10), len(self.languages)), np.float32)
                 more[:at] = self.rows[:at]
                 self.rows = more
-            for i, w in enumerate(new, at):
-                seen[w] = i
-                self.rows[i] = self.score(w)
+            seen.update(zip(new, range(at, at + len(new))))
+            self.rows[at : at + len(new)] = self.scores(new)
         n = len(counts)
         own = self.rows[np.fromiter(map(seen.__getitem__, counts), np.int64, n)]
         times = np.fromiter(counts.values(), float, n)

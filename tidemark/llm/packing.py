@@ -122,7 +122,9 @@ class ModelEncoder(bpe.Encoder):
         self.model = Tokenizer.from_file(path).model
 
     def word_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word.encode()]))]
+        if not (word.isascii() and word.isalpha()):  # such letters stand for themselves
+            word = "".join([self.letters[b] for b in word.encode()])
+        return [t.id for t in self.model.tokenize(word)]
 
 
 _TOKENS: dict[tuple[str, int], object] = {}
