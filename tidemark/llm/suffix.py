@@ -264,7 +264,6 @@ def surroundings(docs: DataFrame, texts: DataFrame, least: int = 100, gram: int
     # what is known to be met again in its batch only passes through, dealt by its own place
     dealt = dealt.withColumn("key", F.when(F.col("kind") == 2, F.xxhash64("doc_id", "at")).otherwise(F.col("key")))
     again = dealt.repartition("key").sortWithinPartitions("key", "doc_id", "sub", "at").mapInArrow(met, "doc_id long, sub long, at long")
-    again = common.durable(again, free=True)
     wanted = again.groupBy("doc_id", "sub").agg(F.collect_set("at").alias("wanted"))
     # a left join, as the one with spans is: an inner one would filter nulls first and shuffle the texts again
     return texts.join(wanted.hint("shuffle_hash"), ["doc_id", "sub"], "left").mapInArrow(cut_out, "key long, right binary, left binary, doc_id long, sub long, s long, e long")
