@@ -176,25 +176,17 @@ class Memo(dict):
             self.held = 0
 
 
-_ENCODERS: dict[str, Encoder] = {}
-_RENDERED: dict[str, Memo] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return common.kept(("encoder", path), lambda: Encoder(path))
 
 
 def _digests(path: str):
-    own = encoder(path)
+    own = Encoder(path)
 
     def render(ids) -> tuple[int, str, str]:
         return len(ids), " ".join(map(str, ids)), own.decode(ids)
 
-    if path not in _RENDERED:
-        _RENDERED[path] = Memo(lambda chunk: render(own.chunk_ids(chunk)))
-    memo = _RENDERED[path]
+    memo = Memo(lambda chunk: render(own.chunk_ids(chunk)))
 
     def of(text: str | None) -> tuple[int, str, str]:
         parts: list[tuple[int, str, str]] = []
@@ -236,7 +228,7 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(parts):
-        of = _digests(path)
+        of = common.kept(("digests", path), lambda: _digests(path))
         for part in parts:
             made = [of(t) for t in part.column(1).to_pylist()]
             columns = zip(*made) if made else ((), (), ())

@@ -50,6 +50,23 @@ def batches(rows, schema: pa.Schema, size: int = 8192):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), schema.types)], schema=schema)
 
 
+#: What an operator keeps in this worker from task to task; workers outlive queries, so one operator's at a time.
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """What make gives, kept in this worker until forget() or until another key is asked for."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Let go of what another operator's tasks kept in this worker; for tasks that need the memory themselves."""
+    _KEPT.clear()
+
+
 def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
     """Smallest index reachable from each of 0..n-1 over the links i-j."""
     lab = np.arange(n)

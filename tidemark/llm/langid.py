@@ -157,6 +157,7 @@ def fit(docs: DataFrame, language_bytes: int = LANGUAGE_BYTES, all_bytes: int =
     schema = pa.schema([("n", pa.int8()), ("lang", pa.int32()), ("gram", pa.int64()), ("times", pa.int64())])
 
     def count(parts):
+        common.forget()
         kept: dict[int, Counter] = {}
         for part in parts:
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -186,6 +187,7 @@ def predicted(docs: DataFrame, model: Model, text: F.Column) -> F.Column:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: pa.Array) -> pa.Array:
+        common.forget()
         made = [sent.value.predict(t) for t in texts.to_pylist()]
         langs, scores = zip(*made) if made else ((), ())
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])

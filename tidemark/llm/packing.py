@@ -127,26 +127,25 @@ class ModelEncoder(bpe.Encoder):
         return [t.id for t in self.model.tokenize(word)]
 
 
-_TOKENS: dict[tuple[str, int], object] = {}
-
-
 def token_bytes(path: str, end_id: int):
     """A function from a text to its ids and end_id as little-endian unsigned 32-bit; chunks are remembered."""
-    if (path, end_id) not in _TOKENS:
-        own = ModelEncoder(path)
-        raw = lambda ids: array("I", ids).tobytes()
-        memo, end = bpe.Memo(lambda chunk: raw(own.chunk_ids(chunk))), raw([end_id])
-
-        def of(text: str | None) -> bytes:
-            parts = []
-            for part in own.chunks(text or ""):
-                parts += [raw([part])] if isinstance(part, int) else [memo[c] for c in part]
-            memo.trim()
-            parts.append(end)
-            return b"".join(parts)
-
-        _TOKENS[path, end_id] = of
-    return _TOKENS[path, end_id]
+    return common.kept(("tokens", path, end_id), lambda: _token_bytes(path, end_id))
+
+
+def _token_bytes(path: str, end_id: int):
+    own = ModelEncoder(path)
+    raw = lambda ids: array("I", ids).tobytes()
+    memo, end = bpe.Memo(lambda chunk: raw(own.chunk_ids(chunk))), raw([end_id])
+
+    def of(text: str | None) -> bytes:
+        parts = []
+        for part in own.chunks(text or ""):
+            parts += [raw([part])] if isinstance(part, int) else [memo[c] for c in part]
+        memo.trim()
+        parts.append(end)
+        return b"".join(parts)
+
+    return of
 
 
 def pack(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, with_ids: bool = False) -> DataFrame:

@@ -84,6 +84,7 @@ _DDL = ", ".join(f"{n} {'boolean' if n == 'base_failed' else 'long'}" for n, _ i
 
 
 def _measured(texts: pa.Array) -> pa.Array:
+    common.forget()
     made = [measure(t) for t in texts.to_pylist()]
     columns = zip(*made) if made else [[]] * len(_KINDS)
     return pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _KINDS)], names=[n for n, _ in _KINDS])
