@@ -45,6 +45,44 @@ def test_lone_pairs_at_the_threshold(spark):
     assert _removed(spark, docs) == gone
 
 
+def test_texts_move_only_for_pairs_that_may_be_copies(spark, monkeypatch):
+    """Long texts of like sizes that share a sentence with each other by chance; some have a copy above 0.8."""
+    docs = []
+    for k in range(40):
+        words = [f"w{k}x{n}" for n in range(1600 + 5 * k)]
+        for other in range(max(0, k - 5), min(40, k + 6)):
+            low, high = sorted((k, other))
+            if low < high:
+                at = 100 + 40 * (other - k + 5)
+                words[at : at + 30] = [f"s{low}x{high}x{n}" for n in range(30)]
+        docs.append((2 * k, " ".join(words)))
+        if k % 8 == 0:
+            docs.append((2 * k + 1, " ".join(_edited(words, range(700, 1500, 25 + k // 8), "new"))))
+    monkeypatch.setattr(simhash, "_SAMPLE", 4)  # few of the shared shingles are known as common
+    moved, similar = [], simhash.similar
+    monkeypatch.setattr(simhash, "similar", lambda pairs, *rest: (moved.append(pairs.count()), similar(pairs, *rest))[1])
+    gone = _near(docs)
+    assert _removed(spark, docs) == gone and len(gone) == 5
+    assert sum(moved) <= 2 * len(gone)
+
+
+@pytest.mark.parametrize("n", [1, 40, 700, 5000])
+def test_bounds_of_similar_sets_hold(n):
+    """Sets at 0.8 and above share as many first shingles as the bound says, and differ in no more bits than it says."""
+    rng = np.random.default_rng(n)
+    for _ in range(40):
+        own = rng.integers(-(1 << 62), 1 << 62, 2 * n)
+        more, less = rng.integers(0, n // 5 + 1, 2)
+        a, b = np.unique(own[:n]), np.unique(own[less : n + more])
+        shared = len(np.intersect1d(a, b))
+        if shared < 0.8 * (len(a) + len(b) - shared):
+            continue
+        first = [x[: len(x) - int(simhash._whole(len(x), 0.8)) + 1] for x in (a, b)]
+        assert len(np.intersect1d(*first)) >= simhash._least(len(a), len(b), 0.8)
+        x, y = (simhash._wide(h) or simhash._bitmap(h) for h in (a, b))
+        assert simhash._differ(x, y) <= len(a) + len(b) - 2 * shared
+
+
 @pytest.mark.parametrize("block", [2048, 16])
 def test_pairs_inside_families_under_the_threshold(spark, monkeypatch, block):
     """Texts on one template, 0.76 among each other; each has one copy above 0.8 that no nearer text may hide."""

@@ -190,9 +190,11 @@ def shingle_set(text: bytes | None, width: int) -> set[bytes]:
     return set(map(b" ".join, zip(*(words[i:] for i in range(n)))))
 
 
-#: Texts whose shingles are counted to learn which are common; bits of a shingle bitmap; rows of an exact block; rows of
-#: a list whose pairs are all taken in the first round.
-_SAMPLE, _BITMAP, _ROWS, _SHORT = 8_000, 512, 2048, 8
+#: Texts whose shingles are counted to learn which are common; bits of a shingle bitmap, and of the widest one; rows of an
+#: exact block; rows of a list whose pairs are all met at once; lists a pair is met in that do while not all are counted.
+_SAMPLE, _BITMAP, _WIDEST, _ROWS, _SHORT, _ENOUGH = 8_000, 512, 1 << 16, 2048, 8, 4
+#: A pair, the lists it was met in, how many of them long, its shingles from there on beyond those needed, the lists needed.
+_HITS = "u long, v long, hits int, long int, slack int, least int"
 
 
 def _needed(a, b, similarity: float):
@@ -200,6 +202,20 @@ def _needed(a, b, similarity: float):
     return np.ceil(similarity / (1 + similarity) * (a + b) - 1e-9).astype(np.int64)
 
 
+def _whole(size, similarity: float):
+    """Shingles of a set of that size that any similar set has at least."""
+    return np.ceil(similarity * size - 1e-9).astype(np.int64)
+
+
+def _least(a, b, similarity: float):
+    """First shingles that similar sets of a and b share at least.
+
+    The one whose first shingles end earlier in the common order shares all it shares of them with the other's first
+    ones, and what comes later can only hold _whole() - 1 of those needed.
+    """
+    return np.maximum(1, _needed(a, b, similarity) - _whole(np.maximum(a, b), similarity) + 1)
+
+
 def _set_fingerprint(hashes: np.ndarray) -> int:
     """SimHash of a set of shingles by their hashes."""
     at_byte = np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _COLUMN).ravel(), minlength=2048)
@@ -212,12 +228,24 @@ def _hashes(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingle_set(text, width)), np.uint64)).view(np.int64)
 
 
-def _bitmap(hashes: np.ndarray) -> bytes:
+def _bitmap(hashes: np.ndarray, bits: int = _BITMAP) -> bytes:
     """Parities of the set's members by bit: two of them differ in no more bits than the sets in members."""
-    odd = np.bincount(hashes.view(np.uint64) % np.uint64(_BITMAP), minlength=_BITMAP) & 1
+    odd = np.bincount(hashes.view(np.uint64) % np.uint64(bits), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _wide(hashes: np.ndarray) -> bytes | None:
+    """A bitmap of as many bits as the set has members, a power of two; none where the usual one has them."""
+    bits = min(_WIDEST, 1 << max(0, len(hashes) - 1).bit_length())
+    return _bitmap(hashes, bits) if bits > _BITMAP else None
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """Bits two bitmaps differ in, the wider one folded."""
+    x, y = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum(dtype=np.int64))
+
+
 def _node(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(b" ".join(text.lower().split())) - (1 << 63)
 
@@ -264,7 +292,7 @@ def postings(texts: DataFrame, width: int, similarity: float, share: int) -> Dat
                 if len(known):
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                     count = np.where(known[at] == h, often[at], 0)
-                first = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
+                first = len(h) - int(_whole(len(h), similarity)) + 1
                 h, size = h[np.lexsort((h, count))[:first]], len(h)
                 out.append((h, np.full(len(h), node), np.full(len(h), size, np.int32), np.arange(len(h), dtype=np.int32)))
             if out:
@@ -273,18 +301,116 @@ def postings(texts: DataFrame, width: int, similarity: float, share: int) -> Dat
     return texts.select("text").mapInArrow(run, "h long, node long, size int, pos int")
 
 
-def _candidates(lists: DataFrame, roots: DataFrame | None, similarity: float, every: bool) -> DataFrame:
-    """(u, v): pairs of different roots in one list that its positions, sizes and bitmaps don't rule out.
+def _units(parts, width: int, by: int):
+    """The columns of each run of rows that agree in the first `by` of `width` columns; rows come sorted by them."""
+    held = None
+
+    def cut(last):
+        nonlocal held
+        new = np.zeros(len(held[0]), bool)
+        new[0] = True
+        for c in held[:by]:
+            new[1:] |= c[1:] != c[:-1]
+        unit = np.flatnonzero(new)
+        ends = np.r_[unit[1:], len(new)]
+        now, whole = held, len(unit) if last else len(unit) - 1
+        held = [c[unit[-1] :] for c in now]
+        for s, e in zip(unit[:whole], ends[:whole]):
+            if e - s > 1:
+                yield [c[s:e] for c in now]
+
+    for part in parts:
+        cols = [part.column(c).to_numpy(zero_copy_only=False) for c in range(width)]
+        held = cols if held is None else [np.concatenate(c) for c in zip(held, cols)]
+        if len(held[0]) >= 1 << 14:
+            yield from cut(False)
+    if held is not None and len(held[0]):
+        yield from cut(True)
+
+
+def _hits(node, size, pos, k, m, similarity: float) -> np.ndarray:
+    """(u, v, slack, least) of the pairs k-m of a list's rows."""
+    left = np.minimum(size[k] - pos[k], size[m] - pos[m])
+    slack = left - _needed(size[k], size[m], similarity)
+    return np.stack([np.maximum(node[k], node[m]), np.minimum(node[k], node[m]), slack, _least(size[k], size[m], similarity)])
+
+
+def _summed(out: list[np.ndarray], long: int) -> list[pa.Array]:
+    """The columns of _HITS, a row for each pair."""
+    u, v, slack, least = np.concatenate(out, axis=1)
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
+    at = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])])
+    hits = np.diff(np.r_[at, len(u)])
+    columns = [hits, hits * long, np.maximum.reduceat(slack[order], at), least[order][at]]
+    return [pa.array(u[at]), pa.array(v[at]), *(pa.array(c.astype(np.int32)) for c in columns)]
+
+
+def _split(lists: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(_HITS of all pairs in short lists whose sizes allow it, rows of long lists); lists: (h, node, size, pos, n)."""
+    names = ["h", "u", "v", "hits", "long", "slack", "least"]
+
+    def run(parts):
+        pairs = [np.triu_indices(n, 1) for n in range(_SHORT + 1)]
+        out, count = [], 0
+
+        def short():
+            columns = _summed(out, 0)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), pa.int64()), *columns], names=names)
+
+        def near(parts):
+            """The rows of short lists, many lists at once by their length."""
+            for part in parts:
+                h, node, size, pos, n = (part.column(c).to_numpy() for c in range(5))
+                far = n > _SHORT
+                if far.any():
+                    none = pa.nulls(int(far.sum()), pa.int64())
+                    zero = pa.array(np.zeros(far.sum(), np.int32))
+                    yield None, [pa.array(h[far]), pa.array(node[far]), none, pa.array(size[far]), pa.array(pos[far]), zero, zero]
+                yield part.filter(pa.array(~far)), None
+
+        rest = None
+        for part, far in near(parts):
+            if far is not None:
+                yield pa.RecordBatch.from_arrays(far, names=names)
+                continue
+            cols = [part.column(c).to_numpy() for c in range(5)]
+            cols = cols if rest is None else [np.concatenate(c) for c in zip(rest, cols)]
+            h, node, size, pos, n = cols
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, int)
+            whole = starts[starts + n[starts] <= len(h)]
+            done = int(whole[-1] + n[whole[-1]]) if len(whole) else 0
+            rest = [c[done:] for c in cols]
+            size, pos = size.astype(np.int64), pos.astype(np.int64)
+            for length in range(2, _SHORT + 1):
+                at = whole[n[whole] == length]
+                k, m = ((at[:, None] + p).ravel() for p in pairs[length])
+                few, many = np.minimum(size[k], size[m]), np.maximum(size[k], size[m])
+                fit = few >= _whole(many, similarity)
+                if fit.any():
+                    out.append(_hits(node, size, pos, k[fit], m[fit], similarity))
+                    count += int(fit.sum())
+            if count >= 1 << 17:
+                yield short()
+                out, count = [], 0
+        if out:
+            yield short()
+
+    rows = lists.select("h", "node", "size", "pos", F.col("n").cast("int").alias("n")).sortWithinPartitions("h").mapInArrow(run, "h long, " + _HITS)
+    rows = common.durable(rows)
+    return rows.where("h is null").drop("h"), rows.where("h is not null").select("h", F.col("u").alias("node"), F.col("hits").alias("size"), F.col("long").alias("pos"))
+
 
-    Without `every`, a long list is dealt into blocks and each of its rows gives the nearest of such pairs only; with it,
-    every pair of blocks is one unit of work, and short lists, all of whose pairs came before, are left out.
+def _long_hits(lists: DataFrame, roots: DataFrame | None, similarity: float, every: bool) -> DataFrame:
+    """_HITS of pairs of different roots in one long list that their sizes and bitmaps don't rule out.
+
+    Without `every`, a list is dealt into blocks and each of its rows gives the nearest of such pairs only; with it, every
+    pair of blocks is one unit of work, and a pair is met in each list that has both.
     """
     rows = lists.withColumn("root", F.col("node"))
     if roots is not None:
         rows = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    if every:
-        sizes = sizes.where(F.col("n") > _SHORT)
     rows = rows.join(sizes.select("h", F.ceil(F.col("n") / _ROWS).alias("blocks")), "h").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")))
     if every:
         rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"))
@@ -294,63 +420,80 @@ def _candidates(lists: DataFrame, roots: DataFrame | None, similarity: float, ev
 
     def pairs(node, size, pos, root, bits, b, i, j):
         x, y = np.flatnonzero(b == i), np.flatnonzero(b == j)
-        left, step = size - pos, max(1, (1 << 20) // max(1, len(y)))
+        step = max(1, (1 << 20) // max(1, len(y)))
         for at in range(0, len(x), step):
             p = x[at : at + step]
             need = _needed(size[p, None], size[None, y], similarity)
-            apart = (root[p, None] != root[None, y]) & (np.minimum(left[p, None], left[None, y]) >= need)
+            apart = (root[p, None] != root[None, y]) & (np.minimum(size[p, None], size[None, y]) >= need)
             far = np.zeros(apart.shape, np.int32)
             for w in range(bits.shape[1]):
                 far += np.bitwise_count(bits[p, w][:, None] ^ bits[None, y, w])
             apart &= far <= size[p, None] + size[None, y] - 2 * need
             if every or len(node) <= _SHORT:
-                k, m = np.nonzero(apart)
+                k, m = np.nonzero(apart & (p[:, None] < y[None, :]) if i == j else apart)
             else:
                 m = np.where(apart, far, 1 << 30).argmin(axis=1)
                 k = np.flatnonzero(apart[np.arange(len(p)), m])
                 m = m[k]
-            yield np.stack([np.maximum(node[p[k]], node[y[m]]), np.minimum(node[p[k]], node[y[m]])])
+            yield _hits(node, size, pos, p[k], y[m], similarity)
 
     def run(parts):
-        held, out, count = None, [], 0
-
-        def groups():
-            nonlocal held
-            for part in parts:
-                cols = [part.column(c).to_numpy(zero_copy_only=False) for c in range(9)]
-                held = cols if held is None else [np.concatenate(c) for c in zip(held, cols)]
-                if len(held[0]) < 1 << 14:
-                    continue
-                yield from cut(False)
-            if held is not None:
-                yield from cut(True)
-
-        def cut(last):
-            nonlocal held
-            unit = np.flatnonzero(np.r_[True, (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]) | (held[2][1:] != held[2][:-1])])
-            ends = np.r_[unit[1:], len(held[0])]
-            now, whole = held, len(unit) if last else len(unit) - 1
-            held = [c[unit[-1] :] for c in now]
-            for s, e in zip(unit[:whole], ends[:whole]):
-                if e - s > 1:
-                    yield [c[s:e] for c in now]
-
-        for _, i, j, b, node, size, pos, root, bits in groups():
+        out, count = [], 0
+        for _, i, j, b, node, size, pos, root, bits in _units(parts, 9, 3):
             bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(node), -1)
             for found in pairs(node, size.astype(np.int64), pos.astype(np.int64), root, bits, b, i[0], j[0]):
                 if found.shape[1]:
                     out.append(found)
                     count += found.shape[1]
                 if count >= 1 << 16:
-                    u, v = np.unique(np.concatenate(out, axis=1), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                    yield pa.RecordBatch.from_arrays(_summed(out, 1), names=["u", "v", "hits", "long", "slack", "least"])
                     out, count = [], 0
         if out:
-            u, v = np.unique(np.concatenate(out, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            yield pa.RecordBatch.from_arrays(_summed(out, 1), names=["u", "v", "hits", "long", "slack", "least"])
 
     dealt = rows.select("h", "i", "j", "b", "node", "size", "pos", "root", "bits")
-    return dealt.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, "u long, v long").distinct()
+    return dealt.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(run, _HITS)
+
+
+def _candidates(short: DataFrame, lists: DataFrame, roots: DataFrame, similarity: float, every: bool) -> DataFrame:
+    """(u, v): pairs that were met in as many lists as similar sets are, so that no text moves for a shingle shared by chance.
+
+    Without `every`, long lists aren't counted in whole: a few lists do.  With it, every list is, and pairs that only
+    short lists hold are left out, as they came before.
+    """
+    met = short.unionByName(_long_hits(lists, roots, similarity, every)).groupBy("u", "v")
+    met = met.agg(F.sum("hits").alias("hits"), F.sum("long").alias("long"), F.max("slack").alias("slack"), F.max("least").alias("least"))
+    if every:
+        return met.where("slack >= 0 and hits >= least and long > 0").select("u", "v")
+    return met.where(F.col("hits") >= F.least("least", F.lit(_ENOUGH))).where("slack >= 0").select("u", "v")
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) that sizes and bitmaps don't rule out."""
+    bits = F.coalesce("wide", "bits")
+    a = nodes.select(F.col("node").alias("u"), F.col("size").alias("a"), bits.alias("x"))
+    b = nodes.select(F.col("node").alias("v"), F.col("size").alias("b"), bits.alias("y"))
+
+    def run(parts):
+        for part in parts:
+            if not part.num_rows:
+                continue
+            a, b = (part.column(c).to_numpy().astype(np.int64) for c in (2, 3))
+            need = _needed(a, b, similarity)
+            far = np.fromiter(map(_differ, part.column(4).to_pylist(), part.column(5).to_pylist()), np.int64, len(a))
+            keep = pa.array((np.minimum(a, b) >= need) & (far <= a + b - 2 * need))
+            yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["u", "v"])
+
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b", "x", "y").mapInArrow(run, "u long, v long")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The pairs (u, v) of different roots."""
+    if roots is None:
+        return pairs
+    for end in ("u", "v"):
+        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    return pairs.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
 
 
 def similar(edges: DataFrame, own: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -380,27 +523,30 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
     First the SimHash grid brings together what differs in 3 bits at most, and every such link is verified by its exact
     similarity.  SimHash alone can't find all pairs at 0.8, so what is still apart is then joined by shingles, with a
-    guarantee: two such sets share one of their first shingles.  Pairs of short lists, and each row's nearest in long
-    ones, are decided before all the pairs in long lists that are still apart.
+    guarantee: two such sets share some of their first shingles, and the closer their sizes, the more.  Pairs of short
+    lists, and each row's nearest in long ones, are decided before all the pairs in long lists that are still apart.
+    Texts move only for pairs that were met in as many lists, and that sizes and bitmaps don't rule out.
     """
     texts = _texts(docs.where(F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
-    schema = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()), ("f0", pa.int64()), ("bits", pa.binary())])
+    schema = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()), ("f0", pa.int64()), ("size", pa.int32()), ("bits", pa.binary()), ("wide", pa.binary())])
 
     def run(parts):
         for part in parts:
             own = part.column(2).to_pylist()
-            made = [(_node(t), _set_fingerprint(h), _bitmap(h)) for t in own for h in (_hashes(t, width),)]
-            columns = zip(*made) if made else ((), (), ())
+            made = [(_node(t), _set_fingerprint(h), len(h), _bitmap(h), _wide(h)) for t in own for h in (_hashes(t, width),)]
+            columns = zip(*made) if made else repeat((), 5)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, schema.types[2:]))], schema=schema)
 
-    rows = common.durable(texts.mapInArrow(run, "row_key long, doc_id long, node long, f0 long, bits binary"))
-    nodes = common.durable(rows.groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("f0").alias("f0"), F.first("bits").alias("bits")))
+    rows = common.durable(texts.mapInArrow(run, "row_key long, doc_id long, node long, f0 long, size int, bits binary, wide binary"))
+    first = (F.first(c).alias(c) for c in ("f0", "size", "bits", "wide"))
+    nodes = common.durable(rows.groupBy("node").agg(F.min("row_key").alias("row_key"), *first))
     share = max(1, rows.count() // _SAMPLE)
     lists = postings(texts, width, similarity, share).repartition("h").dropDuplicates(["h", "node"])
-    lists = common.durable(lists.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n").join(nodes.select("node", "bits"), "node"))
+    short, lists = _split(lists.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1"), similarity)
+    lists = lists.join(nodes.select("node", "bits"), "node")
     links, roots = None, None
-    for candidates in (lambda: link(nodes).distinct(), lambda: _candidates(lists, roots, similarity, False), lambda: _candidates(lists, roots, similarity, True)):
-        pairs = common.durable(candidates())
+    for candidates in (lambda: link(nodes.select("node", "f0")).distinct(), lambda: _candidates(short, lists, roots, similarity, False), lambda: _candidates(short, lists, roots, similarity, True)):
+        pairs = common.durable(_apart(_plausible(candidates(), nodes, similarity), roots))
         ends = pairs.select(F.col("u").alias("node")).unionAll(pairs.select("v")).distinct()
         own = common.durable(texts.join(nodes.join(ends, "node", "left_semi").select("node", "row_key"), "row_key").select("node", "text").dropDuplicates(["node"]))
         found = common.durable(similar(pairs, own, width, similarity))
