@@ -87,11 +87,28 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
     return lab
 
 
+#: Links whose components one task finds; more of them go through rounds until as few are left.
+_FEW = 1 << 18
+
+
+def _found(parts):
+    """(node, root) of all the links (u, v) of a task."""
+    ends = [np.stack([part.column(c).to_numpy() for c in range(2)]) for part in parts]
+    if ends:
+        names, at = np.unique(np.concatenate(ends, axis=1), return_inverse=True)
+        u, v = at.reshape(2, -1)
+        root = forest(u, v, len(names))
+        far = np.flatnonzero(root != np.arange(len(names)))
+        yield pa.RecordBatch.from_arrays([pa.array(names[far]), pa.array(names[root[far]])], names=["node", "root"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (u, v: long) that isn't the smallest of its component; root is that smallest.
 
     Each round hooks every node to its smallest neighbour, follows the pointers, and goes on with the contracted
-    graph, which at least halves; all of it in DataFrames, minima combined before each shuffle.  Nulls link nothing.
+    graph, which at least halves; all of it in DataFrames, minima combined before each shuffle.  A graph of few links is
+    done in one task, since every round is a dozen jobs of as many tasks as shuffles have partitions, all of which the
+    driver keeps account of.  Nulls link nothing.
     """
 
     def contracted(e: DataFrame) -> DataFrame:
@@ -103,7 +120,7 @@ def components(edges: DataFrame) -> DataFrame:
         return m.join(nxt, F.col(column) == F.col("_n"), "left").withColumn(column, F.coalesce("_r", column)).drop("_n", "_r")
 
     rounds, left = [], contracted(edges)
-    while not left.isEmpty():
+    while left.count() > _FEW:
         ends = left.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(left.select("v", "u"))
         hook = durable(ends.groupBy("node").agg(F.min("root").alias("root")).where("root < node"))
         for _ in range(2):
@@ -111,9 +128,7 @@ def components(edges: DataFrame) -> DataFrame:
         hook = durable(hook)
         rounds.append(hook)
         left = contracted(over(over(left, "u", hook), "v", hook))
-    if not rounds:
-        return left.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    found = rounds[0]
-    for hook in rounds[1:]:
-        found = over(found, "root", hook).unionAll(hook)
-    return durable(found)
+    found = durable(left.coalesce(1).mapInArrow(_found, "node long, root long"))
+    for hook in reversed(rounds):  # a node that is still there after its round has the same root in both
+        found = over(hook, "root", found).unionAll(found).distinct()
+    return durable(found) if rounds else found
