@@ -105,7 +105,7 @@ def test_components_by_rounds_and_in_one_task(spark, monkeypatch, few):
 
 
 def test_a_small_graph_is_few_jobs(spark):
-    """What the driver keeps of jobs, tasks and plans is what it runs out of; rounds took some thirty jobs for a chain."""
+    """What the driver keeps of jobs, tasks and plans is what it runs out of; each round is several jobs."""
     edges = common.durable(spark.createDataFrame([(i, i + 1) for i in range(300)], "u long, v long"))
     spark.sparkContext.setJobGroup("small graph", "")
     found = common.components(edges)

@@ -546,7 +546,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     lists = lists.join(nodes.select("node", "bits"), "node")
     links, roots = None, None
     for candidates in (lambda: link(nodes.select("node", "f0")).distinct(), lambda: _candidates(short, lists, roots, similarity, False), lambda: _candidates(short, lists, roots, similarity, True)):
-        pairs = common.durable(_apart(_plausible(candidates(), nodes, similarity), roots))
+        pairs = common.durable(_apart(candidates(), roots))  # two smaller plans, and bitmaps only move for pairs still apart
+        pairs = common.durable(_plausible(pairs, nodes, similarity))
         ends = pairs.select(F.col("u").alias("node")).unionAll(pairs.select("v")).distinct()
         own = common.durable(texts.join(nodes.join(ends, "node", "left_semi").select("node", "row_key"), "row_key").select("node", "text").dropDuplicates(["node"]))
         found = common.durable(similar(pairs, own, width, similarity))
